@@ -15,7 +15,7 @@ ASCII_FOLDS = {
     "“": '"',
     "”": '"',
     "…": "...",
-    " ": " ",
+    "\u00a0": " ",
     "é": "e",
     "è": "e",
     "à": "a",
