@@ -14,20 +14,26 @@ ORACLES: dict[str, str] = {}
 
 
 class Lake:
-    """Entities and base tables of one data folder, read on demand."""
+    """Entities and base tables of one data folder, each read once per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = star.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("t_"):
-            return star.entity(self.spark, self.sf_dir, name)
+            return star.run_sql(self.spark, star.ENTITY_SQL[name], self.table)
         if name in star.TABLES:
-            return star.table(self.spark, self.sf_dir, name)
+            return self.table(name)
         raise AttributeError(name)
 
     def sql(self, text: str) -> DataFrame:
-        return star.run_sql(self.spark, self.sf_dir, text)
+        return star.run_sql(self.spark, text, self.table)
 
 
 def query(name: str, sql: str | None = None, entities: str = "") -> Callable:

@@ -104,7 +104,8 @@ def _(lake):
 
 
 def _stubs(lake):
-    return headcount.ticket_stubs(lake.t_guest, lake.t_payment)
+    guests = lake.t_guest
+    return headcount.ticket_stubs(guests, orders.order_context(guests, lake.t_payment))
 
 
 @query("p3_kept_stubs", stub_ctes() + """
@@ -156,7 +157,7 @@ def _(lake):
     UNION ALL SELECT 'orphans_kept', NULL, count(*) FROM t_guest
         WHERE order_number IS NULL AND guest_type <> 'BUYER'""", STUB_ENTITIES)
 def _(lake):
-    return attendance_audit(lake.t_guest, lake.t_payment)
+    return attendance_audit(lake.t_guest, orders.order_context(lake.t_guest, lake.t_payment))
 
 
 @query("a6_buyer_only_orders", ORDER_CTES + """
@@ -191,7 +192,8 @@ def _(lake):
          AND contains(lower(b.product_name), lower(trim(d.name)))
     GROUP BY b.event_id, b.product_name""", "t_guest t_payment t_def")
 def _(lake):
-    found = dims.match_ticket_definitions(order_baskets(lake.t_guest, lake.t_payment), lake.t_def)
+    context = orders.order_context(lake.t_guest, lake.t_payment)
+    found = dims.match_ticket_definitions(order_baskets(lake.t_guest, context), lake.t_def)
     return found.select(
         F.col("_td_event").alias("event_id"), F.col("_td_product").alias("product_name"),
         "td_name", "td_initial_limit_text", "td_match_confidence")

@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from turnstile.functions.values import blank_to_null
 from turnstile.operators.orders import (
     HOT_ORDER,
-    flag_paid,
     is_paid_stub,
-    order_context,
     paid_cutoff,
     stub_key,
 )
@@ -28,22 +26,20 @@ CONTEXT_FIELDS = (
 
 def ticket_stubs(
     guests: DataFrame,
-    payments: DataFrame,
+    context: DataFrame,
     include_inactive: bool = False,
     hot_order: int = HOT_ORDER,
 ) -> DataFrame:
-    """One row per kept ticket stub with its order context and paid flag.
+    """One row per kept ticket stub with its ``order_context`` and paid flag.
 
     Holders and RSVPs of an order are kept unless the order's payment is inactive; orders
     with only a buyer produce nothing. Guests without an order number are kept unless they
     are buyers. No window runs over the stubs, so AQE may split a hot order in the join.
     """
-    context = order_context(guests, payments)
     if not include_inactive:
         context = context.where(~F.col("inactive"))
-    cutoff = paid_cutoff(guests, context, hot_order)
-    context = flag_paid(context, cutoff)
-    fields = guests.select(*[c for c in STUB_FIELDS])
+    context = context.join(paid_cutoff(guests, context, hot_order), "order_number", "left")
+    fields = guests.select(*STUB_FIELDS)
     key = stub_key(F.col("ticket_number"), F.col("_ord"))
     ordered = (
         fields.where(

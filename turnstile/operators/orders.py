@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnstile.functions.labels import APPLICATION_FEE, INACTIVE_STATUSES
 from turnstile.functions.values import blank_to_null, safe_int
+from turnstile.session import stage
 
 # Orders with more holders than this are ranked in pieces instead of in one task.
 HOT_ORDER = 1_000_000
@@ -47,7 +48,7 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
     * so does the first payment of the latest date if no approved one follows it;
     * without any dates the first approved payment stays, else the first.
 
-    Only the rest is replayed row by row, streaming, with one payment of state per task.
+    Only the rest, if any, is replayed row by row with one payment of state per task.
     """
     pays = payments.where(F.length(F.col(order_col)) > 0).select(
         F.col(order_col).alias("_key"),
@@ -59,14 +60,14 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
     )
     ok, pos = F.col("_ok"), F.col("_ord")
     whole = F.struct("_pay", "_ok")
-    stats = pays.groupBy("_key").agg(
+    stats = stage(pays.groupBy("_key").agg(
         F.count("*").alias("_n"),
         F.count("_at").alias("_dated"),
         F.max_by(whole, F.struct("_at", "_ok", -pos)).alias("_top"),
         F.max(F.when(ok, pos)).alias("_last_ok"),
         F.min_by("_pay", "_ord").alias("_first"),
         F.min_by(F.when(ok, F.col("_pay")), F.when(ok, pos)).alias("_first_ok"),
-    )
+    ), "order-payments")
     settled = (F.col("_dated") == F.col("_n")) & (
         F.col("_top._ok")
         | F.col("_last_ok").isNull()
@@ -79,15 +80,17 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
         .alias("_pay"),
     )
     open_orders = stats.where(~(settled | undated)).select("_key")
-    rest = pays.join(open_orders, "_key", "left_semi")
-    replayed = (
-        rest.select("_key", "_ord", "_ok", "_at")
-        .repartition("_key")
-        .sortWithinPartitions("_key", "_ord")
-        .mapInPandas(_replay, "_key string, _ord bigint")
-    )
-    chosen = rest.join(replayed, ["_key", "_ord"], "left_semi").select("_key", "_pay")
-    return decided.unionByName(chosen).select(
+    if not open_orders.isEmpty():
+        rest = pays.join(open_orders, "_key", "left_semi")
+        replayed = (
+            rest.select("_key", "_ord", "_ok", "_at")
+            .repartition("_key")
+            .sortWithinPartitions("_key", "_ord")
+            .mapInPandas(_replay, "_key string, _ord bigint")
+        )
+        chosen = rest.join(replayed, ["_key", "_ord"], "left_semi").select("_key", "_pay")
+        decided = decided.unionByName(chosen)
+    return decided.select(
         F.col("_key").alias("order_number"),
         F.col("_pay._ord").alias("payment_ord"),
         F.col("_pay.status").alias("order_payment_status"),
@@ -134,12 +137,15 @@ def is_inactive(status: Column) -> Column:
 
 
 def order_context(guests: DataFrame, payments: DataFrame) -> DataFrame:
-    """``order_grain`` with the order's payment, paid ticket count and inactive flag."""
+    """``order_grain`` with the order's payment, paid ticket count and inactive flag.
+
+    Staged, as the stubs, the paid cut-off, definition matching and the audit all read it.
+    """
     joined = order_grain(guests).join(latest_payment_per_order(payments), "order_number", "left")
-    return joined.withColumns({
+    return stage(joined.withColumns({
         "paid_tickets_per_order": paid_tickets(F.col("total_quantity"), F.col("product_name")),
         "inactive": is_inactive(F.col("order_payment_status")),
-    })
+    }), "order-context")
 
 
 def stub_key(ticket_number: Column, position: Column) -> Column:
@@ -181,15 +187,16 @@ def _narrow(keys: DataFrame) -> DataFrame:
     )
 
 
-def nth_stub(keys: DataFrame, hot_order: int = HOT_ORDER) -> DataFrame:
+def nth_stub(keys: DataFrame, hot_order: int | None = None) -> DataFrame:
     """The n-th smallest key per order, from rows (order_number, key, nth, size).
 
-    Orders up to ``hot_order`` rows are ranked by a window. Larger ones are first narrowed
-    twice, each time to about 1/256 of their rows, so no task sorts a whole hot order.
+    Without ``hot_order`` a window ranks each order in one task. With it, orders above that
+    size are first narrowed twice, each time to about 1/256 of their rows.
     """
-    hot = keys.where(F.col("size") > hot_order)
-    narrowed = _narrow(_narrow(hot))
-    ranked = keys.where(F.col("size") <= hot_order).unionByName(narrowed)
+    ranked = keys
+    if hot_order is not None:
+        narrowed = _narrow(_narrow(keys.where(F.col("size") > hot_order)))
+        ranked = keys.where(F.col("size") <= hot_order).unionByName(narrowed)
     window = Window.partitionBy("order_number").orderBy("key")
     return (
         ranked.withColumn("rank", F.row_number().over(window))
@@ -201,8 +208,13 @@ def nth_stub(keys: DataFrame, hot_order: int = HOT_ORDER) -> DataFrame:
 def paid_cutoff(
     guests: DataFrame, context: DataFrame, hot_order: int = HOT_ORDER
 ) -> DataFrame:
-    """Per order with some but not all stubs paid: the sort key of its last paid stub."""
+    """Per order with some but not all stubs paid: the sort key of its last paid stub.
+
+    ``context`` should be staged: its largest mixed order decides whether hot orders need
+    their own path.
+    """
     mixed = context.where("paid_tickets_per_order > 0 and paid_tickets_per_order < holders")
+    largest = mixed.agg(F.max("holders")).first()[0] or 0
     holders = guests.where("guest_type = 'TICKET_HOLDER'").select(
         "order_number", stub_key(F.col("ticket_number"), F.col("_ord")).alias("key")
     )
@@ -211,12 +223,7 @@ def paid_cutoff(
                      F.col("holders").alias("size")),
         "order_number",
     )
-    return nth_stub(keys, hot_order)
-
-
-def flag_paid(context: DataFrame, cutoff: DataFrame) -> DataFrame:
-    """Attach ``last_paid`` so a stub is paid by comparing its own key."""
-    return context.join(cutoff, "order_number", "left")
+    return nth_stub(keys, hot_order if largest > hot_order else None)
 
 
 def is_paid_stub(guest_type: Column, key: Column) -> Column:

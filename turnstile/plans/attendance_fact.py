@@ -22,7 +22,7 @@ from turnstile.operators.dims import (
     ticket_lookup,
 )
 from turnstile.operators.headcount import count_people, ticket_stubs
-from turnstile.operators.orders import HOT_ORDER, latest_payment_per_order, order_context
+from turnstile.operators.orders import HOT_ORDER, order_context
 
 
 def _identity() -> dict[str, Column]:
@@ -120,7 +120,8 @@ def build_attendance_fact(
     Where several ticket definitions match with different numbers, the numeric ``td_*``
     and ``price_value`` are null and the joined values are in the ``*_text`` columns.
     """
-    stubs = count_people(ticket_stubs(guests, payments, include_inactive, hot_order))
+    context = order_context(guests, payments)
+    stubs = count_people(ticket_stubs(guests, context, include_inactive, hot_order))
     person = F.coalesce(blank_to_null(F.col("buyer_contact_id")), F.col("contact_id"))
     rows = stubs.withColumn("_who", person)
     rows = join_dim(rows, person_dim(contacts, members), "_who", "_person", "_ord")
@@ -141,9 +142,7 @@ def build_attendance_fact(
         rows.withColumn("ticket_definition_id", definition_id), definitions,
         "ticket_definition_id", "_definition", "_ord",
     )
-    # Product texts come from the orders, long before the dimension joins.
-    baskets = order_baskets(guests, payments)
-    signals = match_ticket_definitions(baskets, ticket_definitions)
+    signals = match_ticket_definitions(order_baskets(guests, context), ticket_definitions)
     rows = rows.withColumn("_product", blank_to_null(F.col("product_name")))
     rows = rows.join(
         signals,
@@ -235,24 +234,21 @@ def build_attendance_fact(
     return rows.select(*[e.alias(n) for n, e in columns.items()])
 
 
-def order_baskets(guests: DataFrame, payments: DataFrame) -> DataFrame:
+def order_baskets(guests: DataFrame, context: DataFrame) -> DataFrame:
     """Distinct (event, product text) of ordered stubs, the input of definition matching."""
     placed = guests.where(
         (F.length("order_number") > 0) & F.col("guest_type").isin("TICKET_HOLDER", "RSVP")
     ).select("order_number", "event_id")
-    bought = latest_payment_per_order(payments).where(F.length("product_name") > 0)
-    return placed.join(bought.select("order_number", "product_name"), "order_number").select(
-        "event_id", "product_name"
-    ).distinct()
+    bought = context.where(F.length("product_name") > 0).select("order_number", "product_name")
+    return placed.join(bought, "order_number").select("event_id", "product_name").distinct()
 
 
-def attendance_audit(guests: DataFrame, payments: DataFrame) -> DataFrame:
+def attendance_audit(guests: DataFrame, context: DataFrame) -> DataFrame:
     """What the fact leaves out and keeps: one row per (measure, status).
 
     Stubs dropped per inactive status, buyer-only orders, buyer rows folded into their
     order, and kept guests without an order.
     """
-    context = order_context(guests, payments)
     inactive = F.col("inactive")
     dropped = context.where(inactive).groupBy(
         F.lit("inactive_stubs").alias("measure"),

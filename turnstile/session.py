@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "turnstile", **conf: str) -> SparkSession:
@@ -24,17 +27,32 @@ def local_session(cores: int | str = "*", app: str = "turnstile", **conf: str) -
     return spark
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors share one disk, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver
+    and executors share one disk, may fall back to a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    import tempfile
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="turnstile-")
+    return _local_scratch[context.applicationId]
 
-    return tempfile.mkdtemp(prefix="turnstile-")
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For results used several times: later reads prune columns, the plan stays short, and
+    a lost executor costs a re-read instead of the whole lineage.
+    """
+    path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

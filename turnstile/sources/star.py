@@ -10,6 +10,7 @@ base table.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -138,9 +139,9 @@ ENTITY_SQL: dict[str, str] = {
            substring(CAST(ts AS STRING), 1, 10) || 'T' || substring(CAST(ts AS STRING), 12, 8)
                || 'Z' AS payment_datetime,
            'CAD' AS currency, value AS amount,
-           CASE WHEN value > 10 THEN 1.5 END AS platform_fee,
+           CASE WHEN value > 10 THEN CAST(1.5 AS DOUBLE) END AS platform_fee,
            value - CASE WHEN value > 10 THEN 1.5 ELSE 0 END AS net_amount,
-           CASE WHEN user_id % 2 = 0 THEN 0.5 END AS tax, CAST(NULL AS DOUBLE) AS discount,
+           CASE WHEN user_id % 2 = 0 THEN CAST(0.5 AS DOUBLE) END AS tax, CAST(NULL AS DOUBLE) AS discount,
            CASE event_type WHEN 'purchase' THEN 'APPROVED' WHEN 'view' THEN 'APPROVED'
                 WHEN 'click' THEN 'PENDING' WHEN 'signup' THEN 'DECLINED' ELSE 'REFUND' END
                AS status,
@@ -289,15 +290,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a template over the base tables it names."""
+def run_sql(spark: SparkSession, sql: str, load: Callable[[str], DataFrame]) -> DataFrame:
+    """Run a template over the base tables it names, each loaded by name."""
     names = sorted(set(re.findall(r"\{(\w+)\}", sql)))
-    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+    return spark.sql(sql, **{n: load(n) for n in names})
 
 
 def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One entity table."""
-    return run_sql(spark, sf_dir, ENTITY_SQL[name])
+    return run_sql(spark, ENTITY_SQL[name], lambda t: table(spark, sf_dir, t))
 
 
 def with_entities(*names: str) -> str:
