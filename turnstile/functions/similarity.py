@@ -12,14 +12,6 @@ def sorted_tokens(c: Column) -> Column:
     return F.array_join(F.array_sort(tokens), " ")
 
 
-def letter_counts(c: Column) -> Column:
-    """Count of each letter a-z and of all other characters, as an array of 27 ints."""
-    letters = [F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in
-               "abcdefghijklmnopqrstuvwxyz"]
-    rest = F.length(c) - sum(letters[1:], letters[0])
-    return F.array(*letters, rest)
-
-
 def _lcs(a: str, b: str) -> int:
     """Longest common subsequence by bit vectors, one word operation per character of b."""
     where: dict[str, int] = {}

@@ -1,0 +1,121 @@
+"""Full runs: raw snapshot -> flat tables -> facts, with a manifest row per stage."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from turnstile.operators import flatten_events as events
+from turnstile.operators import flatten_forms as forms
+from turnstile.operators import flatten_people as people
+from turnstile.operators import flatten_sales as sales
+from turnstile.operators.enrich import exclude_rsvp_guests, tickets_with_definitions
+from turnstile.plans.attendance_fact import build_attendance_fact
+from turnstile.plans.payments_fact import build_payments_fact
+from turnstile.sources.bronze import bronze_range, bronze_read
+from turnstile.sources.manifest import RunManifest
+from turnstile.sources.tables import table_read, table_write
+
+FLATTENERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "events": events.flatten_events,
+    "contacts": people.flatten_contacts,
+    "members": people.flatten_members,
+    "guests": people.flatten_guests,
+    "ticket_definitions": sales.flatten_ticket_definitions,
+    "tickets": sales.flatten_tickets,
+    "order_summaries": sales.flatten_order_summaries,
+    "event_orders": sales.flatten_event_orders,
+    "payments": sales.flatten_payments,
+    "rsvps": people.flatten_rsvps,
+    "form_submissions": forms.flatten_submissions_wide,
+    "coupons": sales.flatten_coupons,
+    "automations": forms.flatten_automations,
+}
+
+
+def build_flat_tables(
+    spark: SparkSession, raw_root: str, table_root: str, snapshot: str,
+    entities: list[str] | None = None, array_files: bool = False,
+    manifest: RunManifest | None = None,
+) -> RunManifest:
+    """Flatten the entities of one snapshot. A failing entity is recorded, others go on.
+
+    Guests of RSVP events are left out and guest gaps filled from contacts; tickets get their
+    definition columns; events split into ``events`` and ``rsvp_events``.
+    """
+    manifest = manifest or RunManifest(spark, snapshot)
+
+    def raw(entity: str) -> DataFrame:
+        return bronze_read(spark, raw_root, entity, snapshot, array_file=array_files)
+
+    for entity in entities or list(FLATTENERS):
+        try:
+            with manifest.stage(entity) as stage:
+                records = raw(entity)
+                if records.isEmpty():
+                    continue
+                flat = FLATTENERS[entity](records)
+                if entity == "events":
+                    parts = events.split_events_by_type(flat)
+                    table_write(parts["rsvp"], table_root, "rsvp_events", snapshot)
+                    flat = parts["ticketing"]
+                elif entity == "guests":
+                    flat = exclude_rsvp_guests(flat, events.flatten_events(raw("events")))
+                    flat = people.enrich_guests(flat, raw("contacts"))
+                elif entity == "tickets":
+                    templates = sales.flatten_ticket_definitions(raw("ticket_definitions"))
+                    flat = tickets_with_definitions(flat, templates)
+                elif entity == "form_submissions":
+                    long = forms.flatten_submissions_long(records)
+                    table_write(long, table_root, "form_submissions_long", snapshot)
+                elif entity == "event_orders":
+                    flat = flat.withColumnRenamed("snapshot_id", "order_snapshot_id")
+                path = table_write(stage.counted(flat), table_root, entity, snapshot)
+                stage.record(raw_path=f"{raw_root}/{entity}", table_path=path)
+        except Exception:  # noqa: BLE001 - recorded in the manifest
+            continue
+    return manifest
+
+
+def build_facts(
+    spark: SparkSession, table_root: str, snapshot: str,
+    manifest: RunManifest | None = None, include_inactive: bool = False,
+) -> RunManifest:
+    """Build both facts of one snapshot from its flat tables."""
+    manifest = manifest or RunManifest(spark, snapshot)
+
+    def flat(name: str) -> DataFrame:
+        return table_read(spark, table_root, name, snapshot)
+
+    with manifest.stage("attendance_fact") as stage:
+        fact = build_attendance_fact(
+            flat("guests"), flat("events"), flat("contacts"), flat("members"),
+            flat("ticket_definitions"), flat("tickets"), flat("order_summaries"),
+            flat("payments"), include_inactive)
+        stage.record(table_path=table_write(
+            stage.counted(fact), table_root, "attendance_fact", snapshot))
+    with manifest.stage("payments_fact") as stage:
+        fact = build_payments_fact(
+            flat("payments"), flat("event_orders"), flat("events"), flat("contacts"),
+            flat("members"), flat("order_summaries"))
+        stage.record(table_path=table_write(
+            stage.counted(fact), table_root, "payments_fact", snapshot))
+    return manifest
+
+
+def backfill(
+    spark: SparkSession, raw_root: str, table_root: str, start: str, end: str,
+    entities: list[str],
+) -> dict[str, str]:
+    """Flatten again every snapshot dated in [start, end); other snapshots stay untouched."""
+    paths = {}
+    for entity in entities:
+        flat = FLATTENERS[entity](bronze_range(spark, raw_root, entity, start, end))
+        paths[entity] = table_write(flat, table_root, entity)
+    return paths
+
+
+def incremental_cutoff(table: DataFrame, updated: str = "updated_datetime") -> str | None:
+    """Latest change already in a table; a pull only needs newer records."""
+    return table.agg(F.max(updated)).first()[0]
