@@ -46,6 +46,8 @@ def query(name: str, sql: str | None = None, entities: str = "") -> Callable:
             head = star.with_entities(*entities.split()) if entities else ""
             body = sql.strip()
             if head and body.startswith(","):
+                if "FROM dp" in body:
+                    head = head.replace("WITH ", "WITH RECURSIVE ", 1)
                 ORACLES[name] = head + body
             else:
                 ORACLES[name] = f"{head}\n{body}" if head else body

@@ -9,33 +9,34 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
-def _node_text(nodes: list) -> str:
-    parts: list[str] = []
-    for node in nodes:
-        own = (node.get("textData") or {}).get("text") if node.get("type") == "TEXT" else None
-        below = _node_text(node["nodes"]) if node.get("nodes") else None
-        parts += [p for p in (own, below) if p]
-    return " ".join(parts).strip()
+def _batch_function():
+    """The batch function, self-contained so that workers need not import this package."""
 
+    def node_text(nodes: list) -> str:
+        parts: list[str] = []
+        for node in nodes:
+            text = (node.get("textData") or {}).get("text") if node.get("type") == "TEXT" else None
+            below = node_text(node["nodes"]) if node.get("nodes") else None
+            parts += [p for p in (text, below) if p]
+        return " ".join(parts).strip()
 
-def _document_text(raw: str | None) -> str | None:
-    if not raw:
-        return None
-    try:
-        tree = json.loads(raw)
-        return _node_text(tree["nodes"] or []) if tree and "nodes" in tree else None
-    except (ValueError, TypeError, AttributeError):
-        return None
+    def document_text(raw: str | None) -> str | None:
+        try:
+            tree = json.loads(raw) if raw else None
+            return node_text(tree["nodes"] or []) if tree and "nodes" in tree else None
+        except (ValueError, TypeError, AttributeError):
+            return None
 
+    def batch(docs: pd.Series) -> pd.Series:
+        return docs.map(document_text)
 
-@F.pandas_udf("string")
-def _rich_text(docs: pd.Series) -> pd.Series:
-    return docs.map(_document_text)
+    return batch
 
 
 def rich_text(doc: Column) -> Column:
     """Text nodes of a JSON document in reading order, joined by single spaces."""
-    return F.when(doc.isNotNull(), _rich_text(doc))
+    extract = F.pandas_udf(_batch_function(), T.StringType())
+    return F.when(doc.isNotNull(), extract(doc))

@@ -176,7 +176,6 @@ def flatten_event_orders(raw: DataFrame) -> DataFrame:
         "order_number": F.col("orderNumber"),
         "event_id": F.col("eventId"),
         "reservation_id": filled("reservationId"),
-        # The order's own snapshot reference; the run's snapshot column is dropped here.
         "snapshot_id": filled("snapshotId"),
         "contact_id": F.col("contactId"),
         "member_id": filled("memberId"),

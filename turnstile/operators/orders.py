@@ -16,24 +16,29 @@ HOT_ORDER = 1_000_000
 PIECES = 256
 
 
-def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk payments sorted by (order, position); emit the surviving position per order.
+def _replay():
+    """Function over payments sorted by (order, position), self-contained for the workers.
 
-    Holds one payment per task, whatever the number of payments of an order.
+    It emits the surviving position per order and holds one payment per task, whatever the
+    number of payments of an order.
     """
-    key = best = None
-    for batch in batches:
-        done = []
-        for order, pos, ok, at in batch[["_key", "_ord", "_ok", "_at"]].itertuples(index=False):
-            if order != key:
-                if key is not None:
-                    done.append((key, best[0]))
-                key, best = order, (pos, ok, at)
-            elif (ok and not best[1]) or (at and best[2] and at > best[2]):
-                best = (pos, ok, at)
-        yield pd.DataFrame(done, columns=["_key", "_ord"])
-    if key is not None:
-        yield pd.DataFrame([(key, best[0])], columns=["_key", "_ord"])
+
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = best = None
+        for batch in batches:
+            done = []
+            for order, pos, ok, at in batch[["_key", "_ord", "_ok", "_at"]].itertuples(index=False):
+                if order != key:
+                    if key is not None:
+                        done.append((key, best[0]))
+                    key, best = order, (pos, ok, at)
+                elif (ok and not best[1]) or (at and best[2] and at > best[2]):
+                    best = (pos, ok, at)
+            yield pd.DataFrame(done, columns=["_key", "_ord"])
+        if key is not None:
+            yield pd.DataFrame([(key, best[0])], columns=["_key", "_ord"])
+
+    return replay
 
 
 def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id") -> DataFrame:
@@ -86,7 +91,7 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
             rest.select("_key", "_ord", "_ok", "_at")
             .repartition("_key")
             .sortWithinPartitions("_key", "_ord")
-            .mapInPandas(_replay, "_key string, _ord bigint")
+            .mapInPandas(_replay(), "_key string, _ord bigint")
         )
         chosen = rest.join(replayed, ["_key", "_ord"], "left_semi").select("_key", "_pay")
         decided = decided.unionByName(chosen)

@@ -8,7 +8,7 @@ from turnstile.functions.dates import split_filled
 from turnstile.functions.values import blank_to_null
 
 # Columns that travel with a record without being part of its entity.
-CARRIED = ("_ord", "snapshot_id")
+CARRIED = ("_ord", "run_id")
 
 
 def shape(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

@@ -69,8 +69,6 @@ def build_flat_tables(
                 elif entity == "form_submissions":
                     long = forms.flatten_submissions_long(records)
                     table_write(long, table_root, "form_submissions_long", snapshot)
-                elif entity == "event_orders":
-                    flat = flat.withColumnRenamed("snapshot_id", "order_snapshot_id")
                 path = table_write(stage.counted(flat), table_root, entity, snapshot)
                 stage.record(raw_path=f"{raw_root}/{entity}", table_path=path)
         except Exception:  # noqa: BLE001 - recorded in the manifest

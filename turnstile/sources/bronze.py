@@ -37,7 +37,7 @@ def bronze_read(
     spark: SparkSession, root: str, entity: str, snapshot: str,
     schema: T.StructType | None = None, array_file: bool = False,
 ) -> DataFrame:
-    """Raw records of one snapshot with ``_ord``, ``snapshot_id`` and ``_corrupt_record``.
+    """Raw records of one snapshot with ``_ord``, ``run_id`` and ``_corrupt_record``.
 
     A missing snapshot reads as an empty table. Records that do not parse keep their text in
     ``_corrupt_record`` instead of vanishing. Written snapshots carry ``_ord``; for an array
@@ -59,7 +59,7 @@ def bronze_read(
         raw = spark.createDataFrame([], wanted)
     if array_file:
         raw = raw.withColumn("_ord", F.monotonically_increasing_id())
-    return raw.withColumn("snapshot_id", F.lit(snapshot))
+    return raw.withColumn("run_id", F.lit(snapshot))
 
 
 def snapshot_list(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:
@@ -137,7 +137,7 @@ def bronze_range(
     schema = T.StructType(raw_schema(entity).fields + [
         T.StructField("_corrupt_record", T.StringType()), T.StructField("_ord", T.LongType())])
     if not ids:
-        return spark.createDataFrame([], schema).withColumn("snapshot_id", F.lit(""))
+        return spark.createDataFrame([], schema).withColumn("run_id", F.lit(""))
     raw = spark.read.schema(schema).json([snapshot_path(root, entity, i) for i in ids])
     return raw.withColumn(
-        "snapshot_id", F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_ID, 1))
+        "run_id", F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_ID, 1))

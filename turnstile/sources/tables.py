@@ -12,23 +12,23 @@ NA_WORDS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def table_write(df: DataFrame, root: str, name: str, snapshot: str | None = None) -> str:
     """Write a table, replacing only the given snapshot's partition."""
     path = f"{root}/{name}"
     if snapshot is not None:
-        df = df.withColumn("snapshot_id", F.lit(snapshot))
+        df = df.withColumn("run_id", F.lit(snapshot))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "snapshot_id").parquet(path)
+        "run_id").parquet(path)
     return path
 
 
 def table_read(spark: SparkSession, root: str, name: str, snapshot: str) -> DataFrame:
     """One snapshot of a table; only its partition is listed and read."""
     return spark.read.option("basePath", f"{root}/{name}").parquet(
-        f"{root}/{name}/snapshot_id={snapshot}").drop("snapshot_id")
+        f"{root}/{name}/run_id={snapshot}").drop("run_id")
 
 
 def flat_columns(df: DataFrame) -> DataFrame:
