@@ -245,8 +245,15 @@ def _(lake):
     return linkage.crossover_summary(*attendees(lake))
 
 
-# Token-sort similarity by dynamic programming, one recursion step per character; the
+# Similarity of the texts in ``pr`` by dynamic programming, one recursion step per character; the
 # Levenshtein distance never exceeds the edit count, so it only removes hopeless pairs.
+DP = """dp AS (SELECT a, b, 0 AS i, [0 FOR j IN range(0, length(b) + 1)] AS r FROM pr
+        UNION ALL SELECT a, b, i + 1, [list_max([CASE WHEN q = 0 THEN 0
+            WHEN a[i + 1] = b[q] THEN greatest(r[q] + 1, r[q + 1]) ELSE r[q + 1] END
+            FOR q IN range(0, j + 1)]) FOR j IN range(0, length(b) + 1)]
+        FROM dp WHERE i < length(a))
+    , sc AS (SELECT a, b, 100.0::DOUBLE * 2 * r[length(b) + 1] / (length(a) + length(b)) AS score
+        FROM dp WHERE i = length(a))"""
 FUZZY = """
     , ua AS (SELECT email, full_name, array_to_string(list_sort(string_split_regex(full_name,
         '[ ]+')), ' ') AS tok FROM aa WHERE email NOT IN (SELECT email FROM ab) AND full_name <> '')
@@ -255,13 +262,7 @@ FUZZY = """
     , pr AS (SELECT DISTINCT ua.tok AS a, ub.tok AS b FROM ua JOIN ub
         ON 2.0 * least(length(ua.tok), length(ub.tok)) >= 0.85 * (length(ua.tok) + length(ub.tok))
         AND levenshtein(ua.tok, ub.tok) <= 0.15 * (length(ua.tok) + length(ub.tok)) + 1e-9)
-    , dp AS (SELECT a, b, 0 AS i, list_transform(range(0, length(b) + 1), j -> 0) AS r FROM pr
-        UNION ALL SELECT a, b, i + 1, list_transform(range(0, length(b) + 1), j -> list_max(
-          list_transform(range(0, j + 1), q -> CASE WHEN q = 0 THEN 0
-            WHEN a[i + 1] = b[q] THEN greatest(r[q] + 1, r[q + 1]) ELSE r[q + 1] END)))
-        FROM dp WHERE i < length(a))
-    , sc AS (SELECT a, b, 100.0::DOUBLE * 2 * r[length(b) + 1] / (length(a) + length(b)) AS score
-        FROM dp WHERE i = length(a))
+    , """ + DP + """
     , fz AS (SELECT ua.full_name AS source_name, ua.email AS source_email,
         ub.full_name AS target_name, ub.email AS target_email, score AS match_score,
         CASE WHEN score = 100 THEN 'exact' ELSE 'fuzzy' END AS match_type
@@ -274,10 +275,6 @@ def fuzzy(lake):
     return linkage.crossover_fuzzy(linkage.unmatched(a, b), linkage.unmatched(b, a))
 
 
-def recursive(text: str) -> str:
-    return PEOPLE + text
-
-
 @linked("j11_crossover_fuzzy", FUZZY + "SELECT * FROM fz")
 def _(lake):
     return fuzzy(lake)
@@ -300,7 +297,15 @@ def _(lake):
     return linkage.combined_summary(linkage.crossover_summary(a, b), names)
 
 
-@query("x17_token_sort_ratio")
+def _tokens(text: str) -> str:
+    return f"array_to_string(list_sort(string_split({text}, ' ')), ' ')"
+
+
+@query("x17_token_sort_ratio", f"""
+    WITH RECURSIVE pp AS (SELECT p_partkey, {_tokens('p_name')} AS a,
+        {_tokens("p_type || ' ' || p_name")} AS b FROM part),
+    pr AS (SELECT DISTINCT a, b FROM pp), {DP}
+    SELECT p_partkey, score FROM pp JOIN sc USING (a, b)""")
 def _(lake):
     pairs = lake.part.select("p_partkey", sorted_tokens(F.col("p_name")).alias("a"),
                              sorted_tokens(F.concat_ws(" ", "p_type", "p_name")).alias("b"))
@@ -446,7 +451,9 @@ def _(lake):
     SELECT 'text' AS "column",
       count(*) FILTER (regexp_matches(text, '[–—‘’“”… éèà]')) AS foldable_rows,
       count(*) FILTER (regexp_matches(text, '[^\\x00-\\x7F–—‘’“”… éèà]')) AS other_rows
-    FROM documents UNION ALL SELECT 'source', 0, 0 FROM documents GROUP BY ALL""")
+    FROM documents UNION ALL SELECT 'source',
+      count(*) FILTER (regexp_matches(source, '[–—‘’“”… éèà]')),
+      count(*) FILTER (regexp_matches(source, '[^\\x00-\\x7F]')) FROM documents""")
 def _(lake):
     return quality.special_characters(lake.documents, ["text", "source"])
 
@@ -530,7 +537,7 @@ def _(lake):
 @query("s12_backfill", """
     SELECT CAST(c_custkey AS VARCHAR) AS member_id, '20260112_000000' AS run_id FROM customer""")
 def _(lake):
-    from turnstile.plans.pipeline import backfill
+    from turnstile.plans.runs import backfill
 
     raw = lake.sql("""SELECT CAST(c_custkey AS STRING) AS id, c_custkey AS _ord FROM {customer}""")
     root, out = fresh(lake, "raw"), fresh(lake, "tables")

@@ -123,7 +123,9 @@ def _(lake):
     return ev.flatten_events(nested(lake, "events", EVENT_RAW)).drop("_ord")
 
 
-@query("t2_rich_text")
+@query("t2_rich_text", r"""
+    SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))
+      AS text FROM pages""")
 def _(lake):
     # Page text as a two-level document: words in TEXT nodes below a paragraph.
     from turnstile.functions.richtext import rich_text
