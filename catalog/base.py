@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from turnstile.session import stage
 from turnstile.sources import star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,6 +14,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Tables written once per session and data folder: (application, folder, name) -> table.
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+# Entities whose mapping needs joins or aggregates. Like flat tables of a real run they are
+# written once and then read by every query.
+STORED_ENTITIES = ("t_guest", "t_ticket", "t_order", "t_summary")
+
+
 class Lake:
     """Entities and base tables of one data folder, each read once per query."""
 
@@ -25,7 +34,17 @@ class Lake:
             self._tables[name] = star.table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table, written on first use."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _stored:
+            _stored[key] = stage(build(), name)
+        return _stored[key]
+
     def __getattr__(self, name: str) -> DataFrame:
+        if name in STORED_ENTITIES:
+            return self.stored(
+                name, lambda: star.run_sql(self.spark, star.ENTITY_SQL[name], self.table))
         if name.startswith("t_"):
             return star.run_sql(self.spark, star.ENTITY_SQL[name], self.table)
         if name in star.TABLES:

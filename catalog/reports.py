@@ -17,17 +17,10 @@ from turnstile.operators import enrich, filters, flatten_people, tidy
 from turnstile.operators.shaping import conform
 from turnstile.plans import reports, views
 from turnstile.schemas import raw_schema
-from turnstile.session import stage
-
-_stored: dict[tuple, object] = {}
-
 
 def stored(lake: Lake, name: str):
     """A fact written once per session and data folder, as reports read it from a table."""
-    key = (lake.spark.sparkContext.applicationId, lake.sf_dir, name)
-    if key not in _stored:
-        _stored[key] = stage(getattr(gold, name)(lake), name)
-    return _stored[key]
+    return lake.stored(name, lambda: getattr(gold, name)(lake))
 
 
 def on_attendance(name: str, sql: str):

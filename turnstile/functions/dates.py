@@ -29,6 +29,13 @@ def known_zones() -> tuple[str, ...]:
     return tuple(sorted((names - too_new) | {"UTC", "GMT"}))
 
 
+def is_known_zone(zone: Column) -> Column:
+    """False for unknown and missing zone ids. One literal, so the plan stays small."""
+    listed = F.lit("|" + "|".join(known_zones()) + "|")
+    found = listed.contains(F.concat(F.lit("|"), zone, F.lit("|"))) & ~zone.contains("|")
+    return F.coalesce(found & (F.length(zone) > 0), F.lit(False))
+
+
 def split_iso(c: Column, zone: Column | None = None) -> tuple[Column, Column]:
     """(date, time) text of an ISO timestamp.
 
@@ -41,10 +48,10 @@ def split_iso(c: Column, zone: Column | None = None) -> tuple[Column, Column]:
         F.regexp_replace(bare, r"\.\d+$", "").try_cast("timestamp_ntz"),
     )
     if zone is not None:
-        shift = c.endswith("Z") & zone.isin(*known_zones())
-        safe_zone = F.when(zone.isin(*known_zones()), zone).otherwise("UTC")
+        known = is_known_zone(zone)
+        safe_zone = F.when(known, zone).otherwise("UTC")
         stamp = F.when(
-            shift, F.convert_timezone(F.lit("UTC"), safe_zone, stamp)
+            c.endswith("Z") & known, F.convert_timezone(F.lit("UTC"), safe_zone, stamp)
         ).otherwise(stamp)
     text = stamp.cast("string")
     date = F.coalesce(F.substring(text, 1, 10), c)

@@ -23,6 +23,7 @@ from turnstile.operators.dims import (
 )
 from turnstile.operators.headcount import count_people, ticket_stubs
 from turnstile.operators.orders import HOT_ORDER, order_context
+from turnstile.session import stage
 
 
 def _identity() -> dict[str, Column]:
@@ -117,6 +118,9 @@ def build_attendance_fact(
 ) -> DataFrame:
     """Build the attendance fact.
 
+    Dimensions are deduplicated and staged first, so their true size is known: small ones
+    are broadcast without shuffling the stubs, large ones are shuffled on their key.
+
     Where several ticket definitions match with different numbers, the numeric ``td_*``
     and ``price_value`` are null and the joined values are in the ``*_text`` columns.
     """
@@ -124,10 +128,10 @@ def build_attendance_fact(
     stubs = count_people(ticket_stubs(guests, context, include_inactive, hot_order))
     person = F.coalesce(blank_to_null(F.col("buyer_contact_id")), F.col("contact_id"))
     rows = stubs.withColumn("_who", person)
-    rows = join_dim(rows, person_dim(contacts, members), "_who", "_person", "_ord")
     rows = join_dim(
-        rows, event_dim(events, order_summaries, ticket_definitions), "event_id", "_event", "_ord"
-    )
+        rows, stage(person_dim(contacts, members), "people"), "_who", "_person", "_ord")
+    shows = stage(event_dim(events, order_summaries, ticket_definitions), "shows")
+    rows = join_dim(rows, shows, "event_id", "_event", "_ord")
     rows = ticket_lookup(rows, tickets)
     definition_id = F.coalesce(
         blank_to_null(F.col("ticket.ticket_definition_id")),
@@ -139,10 +143,11 @@ def build_attendance_fact(
         "fee_type", "sale_status",
     ).withColumnRenamed("definition_id", "_definition")
     rows = join_dim(
-        rows.withColumn("ticket_definition_id", definition_id), definitions,
+        rows.withColumn("ticket_definition_id", definition_id), stage(definitions, "definitions"),
         "ticket_definition_id", "_definition", "_ord",
     )
-    signals = match_ticket_definitions(order_baskets(guests, context), ticket_definitions)
+    signals = stage(
+        match_ticket_definitions(order_baskets(guests, context), ticket_definitions), "signals")
     rows = rows.withColumn("_product", blank_to_null(F.col("product_name")))
     rows = rows.join(
         signals,

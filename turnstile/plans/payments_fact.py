@@ -13,6 +13,7 @@ from turnstile.functions.values import (
     safe_float,
 )
 from turnstile.operators.dims import event_dim, join_dim, last_wins, person_dim, prefixed
+from turnstile.session import stage
 
 PAYMENT_FIELDS = (
     "transaction_id", "provider_transaction_id", "order_id", "app_order_id", "payment_date",
@@ -37,7 +38,8 @@ def build_payments_fact(
     """Join chain payment -> order -> (event + sales, contact + member).
 
     Exactly one row per payment; ``enrichment_status`` tells where the chain ended. Three
-    joins, each against a dimension deduplicated on its key; missing keys are spread.
+    joins, each against a dimension deduplicated on its key; missing keys are spread. The
+    staged dimensions are broadcast only if their files are small.
     """
     orders = prefixed(
         last_wins(event_orders, "order_number").withColumn("found", F.lit(True)),
@@ -46,10 +48,10 @@ def build_payments_fact(
         "tickets_quantity", "ticket_names",
     ).withColumnRenamed("order_number", "_order")
     wide = join_dim(payments, orders, "app_order_id", "_order", "transaction_id")
-    wide = join_dim(wide, event_dim(events, order_summaries), "o_event_id", "_event",
-                    "transaction_id")
-    wide = join_dim(wide, person_dim(contacts, members), "o_contact_id", "_person",
-                    "transaction_id")
+    shows = stage(event_dim(events, order_summaries), "shows")
+    wide = join_dim(wide, shows, "o_event_id", "_event", "transaction_id")
+    people = stage(person_dim(contacts, members), "people")
+    wide = join_dim(wide, people, "o_contact_id", "_person", "transaction_id")
 
     order_key = blank_to_null(F.col("app_order_id"))
     contact_id = blank_to_null(F.col("o_contact_id"))

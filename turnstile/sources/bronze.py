@@ -40,14 +40,14 @@ def bronze_read(
     """Raw records of one snapshot with ``_ord``, ``run_id`` and ``_corrupt_record``.
 
     A missing snapshot reads as an empty table. Records that do not parse keep their text in
-    ``_corrupt_record`` instead of vanishing. Written snapshots carry ``_ord``; for an array
-    file it is the position in the file.
+    ``_corrupt_record`` instead of vanishing. In an array file Spark cannot tell which record
+    a bad field belongs to: the field reads as null and its record stays. Written snapshots
+    carry ``_ord``; for an array file it is the position in the file.
     """
     schema = schema or raw_schema(entity)
-    wanted = T.StructType(
-        schema.fields + [T.StructField("_corrupt_record", T.StringType())]
-        + ([] if array_file else [T.StructField("_ord", T.LongType())])
-    )
+    corrupt = T.StructField("_corrupt_record", T.StringType())
+    wanted = schema if array_file else T.StructType(
+        schema.fields + [corrupt, T.StructField("_ord", T.LongType())])
     path = snapshot_path(root, entity, snapshot)
     reader = spark.read.schema(wanted).option("multiLine", array_file).option(
         "columnNameOfCorruptRecord", "_corrupt_record")
@@ -58,7 +58,10 @@ def bronze_read(
             raise
         raw = spark.createDataFrame([], wanted)
     if array_file:
-        raw = raw.withColumn("_ord", F.monotonically_increasing_id())
+        raw = raw.withColumns({
+            "_ord": F.monotonically_increasing_id(),
+            "_corrupt_record": F.lit(None).cast("string"),
+        })
     return raw.withColumn("run_id", F.lit(snapshot))
 
 
