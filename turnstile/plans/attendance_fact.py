@@ -51,57 +51,55 @@ def _identity() -> dict[str, Column]:
     }
 
 
-def resolve_price() -> dict[str, Column]:
-    """Price, currency, source and free flag of a stub from the sources in rank order."""
+def with_price(rows: DataFrame) -> DataFrame:
+    """Add price_source, price_value, price_text, price_currency and free.
+
+    Sources in rank order: free order, ticket, definition, matched definition, event average.
+    Each step is its own projection, so no expression is repeated inside the next.
+    """
     status = F.upper(F.coalesce(F.col("order_status"), F.lit("")))
-    on_ticket = safe_float(F.col("ticket.price_value"))
-    on_definition = safe_float(F.col("d_fixed_price_value"))
-    matched, matched_text = F.col("td_fixed_price_value"), F.col("td_fixed_price_value_text")
-    average = safe_float(F.col("s_avg_ticket_price"))
-    free_order = status == "FREE"
-    source = (
-        F.when(free_order, "order_status")
-        .when(on_ticket.isNotNull(), "ticket")
-        .when(on_definition.isNotNull(), "ticket_definition")
-        .when(matched_text.isNotNull(), "td_match")
-        .when(average.isNotNull(), "event_average")
-        .otherwise("unknown")
-    )
-    value = (
-        F.when(source == "order_status", F.lit(0.0))
-        .when(source == "ticket", on_ticket)
-        .when(source == "ticket_definition", on_definition)
-        .when(source == "td_match", matched)
-        .when(source == "event_average", average)
+    rows = rows.withColumns({
+        "_status": status,
+        "_ticket_price": safe_float(F.col("ticket.price_value")),
+        "_definition_price": safe_float(F.col("d_fixed_price_value")),
+        "_average_price": safe_float(F.col("s_avg_ticket_price")),
+        "_ticket_currency": blank_to_null(F.col("ticket.price_currency")),
+    })
+    rows = rows.withColumn(
+        "price_source",
+        F.when(F.col("_status") == "FREE", "order_status")
+        .when(F.col("_ticket_price").isNotNull(), "ticket")
+        .when(F.col("_definition_price").isNotNull(), "ticket_definition")
+        .when(F.col("td_fixed_price_value_text").isNotNull(), "td_match")
+        .when(F.col("_average_price").isNotNull(), "event_average")
+        .otherwise("unknown"),
     )
-    ticket_currency = blank_to_null(F.col("ticket.price_currency"))
-    definition_currency = F.col("d_fixed_price_currency")
-    sales_currency = F.col("s_total_sales_currency")
-    currency = (
-        F.when(source == "order_status", F.coalesce(
-            first_filled(ticket_currency, definition_currency, sales_currency),
-            F.col("e_currency")))
-        .when(source == "ticket_definition", F.coalesce(ticket_currency, definition_currency))
-        .when(source == "event_average", F.coalesce(ticket_currency, sales_currency))
-        .otherwise(F.col("ticket.price_currency"))
-    )
-    free = (
-        F.when(free_order, True)
-        .when(status == "PAID", False)
+    source, on_ticket = F.col("price_source"), F.col("_ticket_currency")
+    on_definition, on_sales = F.col("d_fixed_price_currency"), F.col("s_total_sales_currency")
+    rows = rows.withColumns({
+        "price_value": F.when(source == "order_status", F.lit(0.0))
+        .when(source == "ticket", F.col("_ticket_price"))
+        .when(source == "ticket_definition", F.col("_definition_price"))
+        .when(source == "td_match", F.col("td_fixed_price_value"))
+        .when(source == "event_average", F.col("_average_price")),
+        "price_text": F.when(source == "td_match", F.col("td_fixed_price_value_text")),
+        "price_currency": F.when(
+            source == "order_status",
+            F.coalesce(on_ticket, first_filled(on_definition, on_sales), F.col("e_currency")))
+        .when(source == "ticket_definition", F.coalesce(on_ticket, on_definition))
+        .when(source == "event_average", F.coalesce(on_ticket, on_sales))
+        .otherwise(F.col("ticket.price_currency")),
+    })
+    # Several matched prices are text, which is never zero.
+    several = (source == "td_match") & F.col("td_fixed_price_value").isNull()
+    by_price = F.when(several, False).otherwise(F.col("price_value") == 0)
+    return rows.withColumn(
+        "free",
+        F.when(F.col("_status") == "FREE", True)
+        .when(F.col("_status") == "PAID", False)
         .otherwise(F.coalesce(
-            safe_bool(F.col("ticket.free")),
-            safe_bool(F.col("d_free")),
-            # Several matched prices are text, which is never zero.
-            F.when((source == "td_match") & matched.isNull(), False).otherwise(value == 0),
-        ))
+            safe_bool(F.col("ticket.free")), safe_bool(F.col("d_free")), by_price)),
     )
-    return {
-        "price_value": value,
-        "price_text": F.when(source == "td_match", matched_text),
-        "price_currency": currency,
-        "price_source": source,
-        "free": free,
-    }
 
 
 def build_attendance_fact(
@@ -155,8 +153,8 @@ def build_attendance_fact(
         "left",
     )
 
+    rows = with_price(rows)
     who = _identity()
-    price = resolve_price()
     member_id = first_filled(
         F.col("m_member_id"), F.col("buyer.member_id"), F.col("c_member_id"))
     checked = F.coalesce(safe_bool(F.col("ticket.checked_in")), safe_bool(F.col("checked_in")))
@@ -215,12 +213,10 @@ def build_attendance_fact(
             first_filled(F.col("ticket.ticket_name"), F.col("primary_ticket_name"),
                          F.col("d_name")),
             F.col("td_name")),
-        "price_value": price["price_value"],
-        "price_text": price["price_text"],
-        "price_currency": price["price_currency"],
-        "price_source": price["price_source"],
-        "paid_bucket": bucket_price(price["price_value"], price["free"]),
-        "free": price["free"],
+        **{c: F.col(c) for c in (
+            "price_value", "price_text", "price_currency", "price_source")},
+        "paid_bucket": bucket_price(F.col("price_value"), F.col("free")),
+        "free": F.col("free"),
         "def_pricing_type": F.col("d_pricing_type"),
         "def_fee_type": F.col("d_fee_type"),
         "def_sale_status": F.col("d_sale_status"),
