@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from turnstile.llm import bpe, exact_dedup, packing, simhash_dedup
+from pyspark.sql import functions as F
+
+from turnstile.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+)
+from turnstile.llm.batches import fold_of
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -30,6 +40,63 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path(WORD_VOCABULARY))
 
 
+@_query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.quality_cascade(docs, quality_rules.order_rules(docs))
+
+
+ORACLES["op2_quality_rules"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, unnest(list) AS word, generate_subscripts(list, 1) AS i
+  FROM (SELECT r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS list FROM texts)),
+per_text AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY r),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w1, w2, w3) AS n FROM (
+    SELECT r, i, word AS w1, lead(word, 1) OVER (PARTITION BY r ORDER BY i) AS w2,
+           lead(word, 2) OVER (PARTITION BY r ORDER BY i) AS w3 FROM words)
+  WHERE w3 IS NOT NULL),
+repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words
+  FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE n >= 2 GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+numbers AS (
+  SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words,
+         coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM texts LEFT JOIN per_text USING (r) LEFT JOIN repeats USING (r) LEFT JOIN lines USING (r)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM numbers)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 2 * n_symbols > n_words OR 2 * n_capitals > word_chars
+            OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words
+            OR word_chars > 25 * n_words) AS kept
+FROM judged
+"""
+
+
+@_query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train_languages(language_id.training_rows(docs))
+    return language_id.identify_languages(docs, model).select(
+        "doc_id", (fold_of(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
