@@ -12,6 +12,7 @@ from turnstile.llm import (
     bpe,
     exact_dedup,
     language_id,
+    lm_scoring,
     packing,
     quality_classifier,
     quality_rules,
@@ -120,6 +121,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+@_query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
