@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.batches import fold_of, raw_texts, slices
 from turnstile.llm.gam import Gam, fit
-from turnstile.session import stage
+from turnstile.llm.labelled import labelled_sample
 
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
@@ -66,70 +66,54 @@ def features_of(raws: list[bytes]) -> np.ndarray:
     return np.array([text_features(raw) for raw in raws], np.float64).reshape(-1, len(FEATURES))
 
 
-def document_features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, features (array of float) of every row."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+def fit_quality(docs: DataFrame, labels: DataFrame, held_out: int, folds: int,
+                train_rows: int = TRAIN_ROWS) -> Gam:
+    """Fit on labelled rows outside the held-out fold. Features are worked out where the texts
+    are; only those of the bounded sample reach the driver."""
+    sample = labelled_sample(docs, labels, "quality", held_out, folds, train_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = features_of(raw_texts(part)).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(list(found), pa.list_(pa.float32()))],
-                names=["doc_id", "features"])
+                [pa.array(list(features_of(raw_texts(part))), pa.list_(pa.float64())),
+                 part.column("y")], names=["x", "y"])
 
-    id_type = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {id_type}, features array<float>")
-
-
-def fit_on_labels(features: DataFrame, labels: DataFrame, label: str, held_out: int, folds: int,
-                  train_rows: int = TRAIN_ROWS) -> Gam:
-    """Fit on labelled rows outside the held-out fold; a bounded sample reaches the driver."""
-    marked = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("double").alias("y"))
-    known = features.join(marked, features["doc_id"] == F.col("__id")).where(
-        (fold_of(F.col("doc_id"), folds) != held_out) & F.col("y").isin(0.0, 1.0))
-    known = stage(known.select("doc_id", "features", "y"), "labelled-features")
-    rows = known.count()
-    part = min(1.0, train_rows / rows) if rows else 1.0
-    sample = known.where(F.expr(f"pmod(xxhash64(doc_id), 1000003) < {int(part * 1000003) + 1}"))
-    table = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(2 * train_rows).select(
-        "features", "y").toArrow()
-    x = np.array(table.column("features").to_pylist(), np.float64).reshape(-1, len(FEATURES))
+    table = sample.select("text", "y").mapInArrow(run, "x array<double>, y double").orderBy(
+        F.xxhash64("x"), "y").toArrow()
+    x = np.array(table.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array(table.column("y").to_pylist(), np.float64))
 
 
+def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   held_out: int = 0, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
-    features = stage(document_features(docs, doc_id, text), "quality-features")
-    model = fit_on_labels(features, labels, "quality", held_out, folds)
+    source = _source(docs, doc_id, text)
+    model = fit_quality(source, labels, held_out, folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False)
-            scores = model.score(x.astype(np.float64).reshape(-1, len(FEATURES)))
+        for part in slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
+                [part.column("doc_id"), pa.array(model.score(features_of(raw_texts(part))))],
+                names=["doc_id", "score"])
 
-    id_type = features.schema["doc_id"].dataType.simpleString()
-    return features.mapInArrow(run, f"doc_id {id_type}, score double").select(
+    id_type = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {id_type}, score double").select(
         "doc_id", (fold_of(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
               held_out: int = 0, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns.
-
-    Features are worked out once for the labelled rows' model and again while filtering, which
-    costs less than moving the texts to join them with their scores.
-    """
-    features = stage(document_features(docs, doc_id, text), "quality-features")
-    model = fit_on_labels(features, labels, "quality", held_out, folds)
+    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    model = fit_quality(_source(docs, doc_id, text), labels, held_out, folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            accepted = model.score(features_of(raw_texts(part, text)).astype(np.float32)
-                                   .astype(np.float64)) >= threshold
+            accepted = model.score(features_of(raw_texts(part, text))) >= threshold
             yield part.filter(pa.array(accepted))
 
     return docs.mapInArrow(run, docs.schema)

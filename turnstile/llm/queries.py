@@ -17,6 +17,7 @@ from turnstile.llm import (
     quality_classifier,
     quality_rules,
     simhash_dedup,
+    toxicity,
 )
 from turnstile.llm.batches import fold_of
 
@@ -90,6 +91,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
