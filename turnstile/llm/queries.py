@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm import (
     bpe,
+    chat_format,
     exact_dedup,
     language_id,
     lm_scoring,
@@ -21,6 +22,7 @@ from turnstile.llm import (
 )
 from turnstile.llm.batches import fold_of
 
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +99,38 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(chat_format.format_conversations(
+        turns.unionByName(control), public_tokenizers.path(BYTE_VOCABULARY)))
+
+
+ORACLES["op5_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, length(regexp_replace(role || chr(10) || text, '([<\[])(\\*)(/?s>|/?INST\]|\|endoftext\|>)',
+                                  '\1\\\2\3', 'g')) - 1 AS chars
+  FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns, sum(chars + 20)::BIGINT AS formatted_chars,
+         string_agg(role || chr(10) || text || chr(10), ''
+                    ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                  FILTER (WHERE role = 'assistant'), '') AS learned
+  FROM marked GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
+       sha256(learned) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
