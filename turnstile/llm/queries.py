@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,3 +171,6 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
