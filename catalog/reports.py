@@ -288,9 +288,9 @@ def _(lake):
 
 
 @query("a26_sales_summary", f"""
-    SELECT event_id, count(*) AS total_orders,
+    SELECT event_id, grouping(event_id) = 1 AS overall, count(*) AS total_orders,
       CAST(sum(tickets_quantity) AS BIGINT) AS total_tickets, {MONEY.format('total')} AS total_sales
-    FROM t_order WHERE event_id IS NOT NULL GROUP BY ROLLUP (event_id)""", "t_order")
+    FROM t_order GROUP BY ROLLUP (event_id)""", "t_order")
 def _(lake):
     return reports.sales_summary(lake.t_order)
 

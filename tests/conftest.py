@@ -8,8 +8,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from turnstile.session import local_session
+    from turnstile.session import clear_scratch, local_session
 
     session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
+    clear_scratch(session)
     session.stop()

@@ -49,6 +49,58 @@ def test_every_known_zone_converts(spark):
     assert times.where("x IS NULL").count() == 0
 
 
+def test_zones_outside_the_regions_convert(spark):
+    rows = [("2025-07-12T17:00:00Z", z) for z in ("Japan", "EST5EDT", "Brazil/East", "Nowhere/X")]
+    df = spark.createDataFrame(rows, "t string, z string")
+    found = {r["z"]: r["x"] for r in df.select("z", fn.split_iso(F.col("t"), F.col("z"))[1].alias(
+        "x")).collect()}
+    assert found == {"Japan": "02:00:00", "EST5EDT": "13:00:00", "Brazil/East": "14:00:00",
+                     "Nowhere/X": "17:00:00"}
+
+
+def test_last_of_equal_keys_wins(spark):
+    from turnstile.operators.shaping import last_entries
+
+    entries = [("b", "1"), ("a", "2"), ("b", "3"), ("c", None), ("a", "4")]
+    df = spark.createDataFrame([(entries,), ([],)], "e array<struct<key:string,value:string>>")
+    found = [r[0] for r in df.select(last_entries(F.col("e"))).collect()]
+    assert found == [{"a": "4", "b": "3", "c": None}, {}]
+
+
+def test_wide_export_of_many_keys(spark):
+    from turnstile.operators.flatten_forms import pivot_submissions
+
+    df = spark.sql("SELECT 's' AS submission_id, map_from_arrays("
+                   "transform(sequence(1, 2500), i -> concat('field_', i)), "
+                   "transform(sequence(1, 2500), i -> string(i))) AS fields")
+    row = pivot_submissions(df).first()
+    assert len(row) == 2501 and row["field_2500"] == "2500"
+
+
+def test_rich_text_of_any_depth(spark):
+    import json
+
+    from turnstile.functions.richtext import rich_text
+
+    doc = {"type": "TEXT", "textData": {"text": "deep"}}
+    for level in range(400):
+        doc = {"type": "P", "nodes": [doc, {"type": "TEXT", "textData": {"text": str(level)}}]}
+    too_deep = '{"nodes":[' * 200_000
+    df = spark.createDataFrame([(json.dumps({"nodes": [doc]}),), (too_deep,)], "d string")
+    first, second = (r[0] for r in df.select(rich_text(F.col("d"))).collect())
+    assert first == " ".join(["deep", *map(str, range(400))]) and second is None
+
+
+def test_orders_without_event_are_part_of_the_total(spark):
+    from turnstile.plans.reports import sales_summary
+
+    df = spark.createDataFrame([("e", 2, "5"), (None, 3, "7")],
+                               "event_id string, tickets_quantity int, total string")
+    found = sorted((r["overall"], r["event_id"] or "", r["total_orders"], r["total_tickets"])
+                   for r in sales_summary(df).collect())
+    assert found == [(False, "", 1, 3), (False, "e", 1, 2), (True, "", 2, 5)]
+
+
 def test_tri_state_bool(spark):
     words = {"true": True, " YES ": True, "0": False, "No": False, "": None, "NaN": None,
              "null": None, "maybe": True}

@@ -59,14 +59,13 @@ def test_nth_stub_of_hot_orders(spark):
         keys = [(n is None, n, i) for i, n in enumerate(
             rng.choice([None, f"t{rng.randrange(50):03d}"]) for _ in range(size))]
         nth = rng.randrange(1, size)
-        rows += [(f"o{k}", key, nth, size) for key in keys]
+        rows += [(f"o{k}", key, nth) for key in keys]
         want[f"o{k}"] = sorted(keys, key=lambda x: (x[0], x[1] or "", x[2]))[nth - 1]
     df = spark.createDataFrame(
         rows, "order_number string, key struct<unnumbered:boolean,number:string,ord:bigint>, "
-              "nth bigint, size bigint")
-    for hot in (None, 10):
-        got = {r[0]: tuple(r[1]) for r in orders.nth_stub(df, hot).collect()}
-        assert got == want
+              "nth bigint")
+    got = {r[0]: tuple(r[1]) for r in orders.nth_stub(df).collect()}
+    assert got == want
 
 
 def people(guests, payments):
@@ -129,12 +128,11 @@ def test_headcount_matches_brute_force(spark):
     g = spark.createDataFrame(guests, GUEST).repartition(3)
     context = orders.order_context(g, spark.createDataFrame(payments, PAYMENT))
     want = people(guests, payments)
-    for hot in (orders.HOT_ORDER, 2):
-        rows = headcount.count_people(headcount.ticket_stubs(g, context, hot_order=hot)).select(
-            "guest_id", "is_paid_ticket_stub", "counts_as_human", "humans_at_event_for_buyer",
-            "is_partner_seat").collect()
-        assert len(rows) == len(want)
-        assert {r[0]: tuple(r)[1:] for r in rows} == want
+    rows = headcount.count_people(headcount.ticket_stubs(g, context)).select(
+        "guest_id", "is_paid_ticket_stub", "counts_as_human", "humans_at_event_for_buyer",
+        "is_partner_seat").collect()
+    assert len(rows) == len(want)
+    assert {r[0]: tuple(r)[1:] for r in rows} == want
 
 
 def test_last_wins_drops_blank_keys(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnstile.operators.flatten_people import flatten_guests
-from turnstile.plans.runs import build_facts, build_flat_tables
+from turnstile.plans.runs import backfill, build_facts, build_flat_tables, run_snapshots
 from turnstile.schemas import raw_schema
 from turnstile.sources import bronze, manifest, tables
 from turnstile.streaming.upsert import stream_upsert
@@ -154,3 +154,95 @@ def test_stream_upsert_takes_only_new_files(spark, tmp_path):
         == {"a": "old", "b": "x"}
     assert load([("a", "new", "2024-02-01T00:00:00Z", 3), ("b", "late", "2023-01-01T00:00:00Z", 4)]) \
         == {"a": "new", "b": "x"}
+
+
+def minimal(raw, snapshot=SNAP):
+    put(raw, "events", [
+        {"id": "e1", "title": "Jam", "registration": {"type": "TICKETING"}},
+        {"id": "e2", "title": "Old", "registration": {"type": "RSVP"}}], snapshot)
+    put(raw, "guests", [
+        {"id": "h", "eventId": "e1", "guestType": "TICKET_HOLDER", "orderNumber": "o1"},
+        {"id": "r", "eventId": "e2", "guestType": "RSVP"},
+        {"id": "n", "guestType": "RSVP"}], snapshot)
+    put(raw, "contacts", [{"id": "c1"}], snapshot)
+
+
+def test_entities_without_records_are_empty_tables(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "tables")
+    minimal(raw)
+    put(raw, "tickets", [])
+    run, = run_snapshots(spark, str(raw), out, "latest", array_files=True)
+    assert run.failed() == set()
+    fact = tables.table_read(spark, out, "attendance_fact", SNAP)
+    assert sorted(r["guest_id"] for r in fact.collect()) == ["h", "n"]
+    assert run.table().where("entity = 'payments_fact'").first()["row_count"] == 0
+
+
+def test_no_fact_from_a_failed_entity(spark, tmp_path):
+    run = manifest.RunManifest(spark, SNAP)
+    with pytest.raises(KeyError), run.stage("guests"):
+        raise KeyError("broken")
+    with pytest.raises(RuntimeError, match="guests"):
+        build_facts(spark, str(tmp_path), SNAP, run)
+
+
+def test_backfill_takes_the_steps_of_a_first_run(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "tables")
+    for snap in ("20260101_000000", "20260105_000000", SNAP):
+        minimal(raw, snap)
+    entities = ["events", "guests"]
+    build_flat_tables(spark, str(raw), out, "20260105_000000", entities, array_files=True)
+    before = sorted(map(str, tables.table_read(spark, out, "guests", "20260105_000000").collect()))
+    runs = backfill(spark, str(raw), out, "2026-01-02", "2026-02-01", entities, array_files=True)
+    assert [r.snapshot for r in runs] == ["20260105_000000"]
+    after = sorted(map(str, tables.table_read(spark, out, "guests", "20260105_000000").collect()))
+    assert after == before and len(after) == 2
+    assert tables.table_read(spark, out, "rsvp_events", "20260105_000000").count() == 1
+    assert bronze.snapshot_ids(spark, str(raw), "guests", "2026-01-01", "2026-03-01") == [
+        "20260101_000000", "20260105_000000", SNAP]
+
+
+def test_unreadable_lines_are_set_aside_and_counted(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "tables")
+    put(raw, "members", '{"id": "b", "_ord": 1}\n{"id": "a", \n{"id": "c", "_ord": 3}\n')
+    run = build_flat_tables(spark, str(raw), out, SNAP, ["members"])
+    ids = [r["member_id"] for r in tables.table_read(spark, out, "members", SNAP).collect()]
+    assert sorted(ids) == ["b", "c"]
+    row = run.table().first()
+    assert (row["row_count"], row["extra_paths"]["rejected_rows"]) == (2, "1")
+    rejects = tables.table_read(spark, out, "rejects_members", SNAP).collect()
+    assert [r["_corrupt_record"] for r in rejects] == ['{"id": "a", ']
+
+
+def test_source_field_names_are_mapped(spark, tmp_path):
+    put(tmp_path, "payments", [{"transactionId": "p1", "order": {"description": {"linkA": "o1"}}}])
+    row = bronze.bronze_read(spark, str(tmp_path), "payments", SNAP, array_file=True,
+                             names={"order.description.appOrderId": "linkA"}).first()
+    assert row["order"]["description"]["appOrderId"] == "o1"
+
+
+def test_array_snapshot_becomes_lines_in_the_same_order(spark, tmp_path):
+    put(tmp_path / "raw", "members", [{"id": i} for i in "cab"])
+    bronze.array_to_lines(spark, str(tmp_path / "raw"), "members", SNAP, str(tmp_path / "lines"))
+    rows = bronze.bronze_read(spark, str(tmp_path / "lines"), "members", SNAP).orderBy("_ord")
+    assert [r["id"] for r in rows.collect()] == list("cab")
+
+
+def test_names_that_look_missing_survive_csv(spark, tmp_path):
+    df = spark.createDataFrame([("None", 1.0), ("NA", None), (None, 2.0)], "name string, v double")
+    tables.csv_export(df, str(tmp_path / "c"))
+    for line_breaks in (True, False):
+        back = tables.csv_read(spark, str(tmp_path / "c"), df.schema, line_breaks)
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_unreadable_target_is_not_replaced(spark, tmp_path):
+    from turnstile.streaming.upsert import upsert_batch
+
+    target = tmp_path / "t" / "buckets=4" / "bucket=0"
+    target.mkdir(parents=True)
+    (target / "part-0.parquet").write_text("not parquet")
+    batch = spark.createDataFrame([("a", "1")], "id string, at string")
+    with pytest.raises(Exception):
+        upsert_batch(str(tmp_path / "t"), batch, "id", "at")
+    assert [p.name for p in target.iterdir()] == ["part-0.parquet"]

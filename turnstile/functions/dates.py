@@ -8,7 +8,7 @@ from __future__ import annotations
 from functools import lru_cache
 from zoneinfo import available_timezones
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from turnstile.functions.values import blank_to_null
 
@@ -18,15 +18,10 @@ ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
 
 @lru_cache(maxsize=1)
 def known_zones() -> tuple[str, ...]:
-    """Zone names that convert safely; region names only, as every tz database has them."""
-    regions = (
-        "Africa", "America", "Antarctica", "Arctic", "Asia", "Atlantic", "Australia",
-        "Europe", "Indian", "Pacific", "Etc", "US", "Canada",
-    )
-    # In the tz database only since 2025; an older JVM raises on it.
-    too_new = {"America/Coyhaique"}
-    names = {z for z in available_timezones() if z.split("/")[0] in regions and "/" in z}
-    return tuple(sorted((names - too_new) | {"UTC", "GMT"}))
+    """Every zone name of the tz database that Spark's JVM can convert, too."""
+    java = SparkSession.getActiveSession()._jvm.java
+    listed = java.lang.String.join("|", java.time.ZoneId.getAvailableZoneIds())
+    return tuple(sorted(available_timezones() & set(listed.split("|"))))
 
 
 def is_known_zone(zone: Column) -> Column:

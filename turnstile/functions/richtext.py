@@ -16,19 +16,30 @@ def _batch_function():
     """The batch function, self-contained so that workers need not import this package."""
 
     def node_text(nodes: list) -> str:
-        parts: list[str] = []
-        for node in nodes:
-            text = (node.get("textData") or {}).get("text") if node.get("type") == "TEXT" else None
-            below = node_text(node["nodes"]) if node.get("nodes") else None
-            parts += [p for p in (text, below) if p]
-        return " ".join(parts).strip()
+        """Depth first with a stack of its own: (nodes still to read, parts read so far)."""
+        stack: list[tuple] = [(iter(nodes), [])]
+        while True:
+            rest, parts = stack[-1]
+            node = next(rest, None)
+            if node is not None:
+                if node.get("type") == "TEXT" and (text := (node.get("textData") or {}).get("text")):
+                    parts.append(text)
+                if node.get("nodes"):
+                    stack.append((iter(node["nodes"]), []))
+                continue
+            stack.pop()
+            whole = " ".join(parts).strip()
+            if not stack:
+                return whole
+            if whole:
+                stack[-1][1].append(whole)
 
     def document_text(raw: str | None) -> str | None:
         try:
             tree = json.loads(raw) if raw else None
             return node_text(tree["nodes"] or []) if tree and "nodes" in tree else None
-        except (ValueError, TypeError, AttributeError):
-            return None
+        except (ValueError, TypeError, AttributeError, RecursionError):
+            return None  # RecursionError: the parser's own limit on depth
 
     def batch(docs: pd.Series) -> pd.Series:
         return docs.map(document_text)

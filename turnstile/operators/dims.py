@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnstile.functions.values import blank_to_null, safe_float, safe_int
 
-SPREAD = 4096
-
 
 def last_wins(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
     """One row per key, the last in input order; rows with a blank key are dropped.
@@ -33,7 +31,7 @@ def spread_key(key: Column, spread_by: Column) -> Column:
 
     They match nothing, so they only need to stay out of a single task.
     """
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("string"))
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(spread_by).cast("string"))
     return F.coalesce(blank_to_null(key), filler)
 
 

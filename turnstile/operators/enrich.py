@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from turnstile.operators.dims import join_dim, last_wins
+from turnstile.operators.dims import join_dim, last_wins, spread_key
 
 
 def tickets_with_definitions(tickets: DataFrame, definitions: DataFrame) -> DataFrame:
@@ -24,8 +24,10 @@ def tickets_with_definitions(tickets: DataFrame, definitions: DataFrame) -> Data
 
 def exclude_rsvp_guests(guests: DataFrame, events: DataFrame) -> DataFrame:
     """Guests that are not at an RSVP event; guests without an event are kept."""
-    rsvp = events.where("registration_type = 'RSVP'").select("event_id")
-    return guests.join(rsvp, "event_id", "left_anti")
+    rsvp = events.where("registration_type = 'RSVP'").select(
+        F.col("event_id").alias("_rsvp_event")).where(F.length("_rsvp_event") > 0)
+    keyed = guests.withColumn("_key", spread_key(F.col("event_id"), F.col("guest_id")))
+    return keyed.join(rsvp, F.col("_key") == F.col("_rsvp_event"), "left_anti").drop("_key")
 
 
 def orders_with_transactions(orders: DataFrame, summary: DataFrame) -> DataFrame:

@@ -50,22 +50,15 @@ def flatten_submissions_long(raw: DataFrame) -> DataFrame:
     return rows.withColumn("field_value", variant_text(F.col("_value"))).drop("_value")
 
 
-def pivot_submissions(
-    submissions: DataFrame, keys: list[str] | None = None, max_keys: int = 2000
-) -> DataFrame:
+def pivot_submissions(submissions: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Wide export with one column per ``field_*`` key of ``flatten_submissions_wide``.
 
-    The distinct keys are found in a first pass unless given. More than ``max_keys`` is an
-    error, since a table that wide is not an export; nothing is dropped.
+    Unless given, all distinct keys are read in a first pass; they are the column names of the
+    result. For keys beyond what a table can have as columns, keep the map.
     """
     if keys is None:
-        found = (
-            submissions.select(F.explode(F.map_keys("fields")).alias("k"))
-            .distinct().orderBy("k").limit(max_keys + 1).collect()
-        )
-        keys = [r["k"] for r in found]
-    if len(keys) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct field keys; pass the keys to keep")
+        found = submissions.select(F.explode(F.map_keys("fields")).alias("k")).distinct()
+        keys = sorted(r["k"] for r in found.collect())
     plain = [c for c in submissions.columns if c != "fields"]
     return submissions.select(
         *plain, *[F.element_at("fields", F.lit(k)).alias(k) for k in keys]

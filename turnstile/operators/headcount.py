@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnstile.functions.values import blank_to_null
 from turnstile.operators.orders import (
-    HOT_ORDER,
     is_paid_stub,
     paid_cutoff,
     stub_key,
@@ -28,7 +27,6 @@ def ticket_stubs(
     guests: DataFrame,
     context: DataFrame,
     include_inactive: bool = False,
-    hot_order: int = HOT_ORDER,
 ) -> DataFrame:
     """One row per kept ticket stub with its ``order_context`` and paid flag.
 
@@ -38,7 +36,7 @@ def ticket_stubs(
     """
     if not include_inactive:
         context = context.where(~F.col("inactive"))
-    context = context.join(paid_cutoff(guests, context, hot_order), "order_number", "left")
+    context = context.join(paid_cutoff(guests, context), "order_number", "left")
     fields = guests.select(*STUB_FIELDS)
     key = stub_key(F.col("ticket_number"), F.col("_ord"))
     ordered = (

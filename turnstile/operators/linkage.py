@@ -197,13 +197,15 @@ def event_pair_counts(pairs: DataFrame) -> DataFrame:
         F.col("n").desc(), "event_b", "event_a")
 
 
-def event_pair_matrix(counts: DataFrame, max_columns: int = 2000) -> DataFrame:
-    """Pair counts with one column per event on A, 0 where there is no pair."""
-    found = counts.select("event_a").distinct().orderBy("event_a").limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} events; use event_pair_counts instead")
-    names = [r["event_a"] for r in found]
-    return counts.groupBy("event_b").pivot("event_a", names).agg(F.sum("n")).na.fill(0)
+def event_pair_matrix(counts: DataFrame, events: list[str] | None = None) -> DataFrame:
+    """Pair counts with one column per event on A, 0 where there is no pair.
+
+    Unless given, all event names are read in a first pass; they are the column names of the
+    result. ``event_pair_counts`` is the form without a bound on the number of events.
+    """
+    if events is None:
+        events = sorted(r["event_a"] for r in counts.select("event_a").distinct().collect())
+    return counts.groupBy("event_b").pivot("event_a", events).agg(F.sum("n")).na.fill(0)
 
 
 def crossover_engagement(matched: DataFrame, n: int = 15) -> DataFrame:

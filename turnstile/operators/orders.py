@@ -11,10 +11,6 @@ from turnstile.functions.labels import APPLICATION_FEE, INACTIVE_STATUSES
 from turnstile.functions.values import blank_to_null, safe_int
 from turnstile.session import stage
 
-# Orders with more holders than this are ranked in pieces instead of in one task.
-HOT_ORDER = 1_000_000
-PIECES = 256
-
 
 def _replay():
     """Function over payments sorted by (order, position), self-contained for the workers.
@@ -161,74 +157,38 @@ def stub_key(ticket_number: Column, position: Column) -> Column:
     )
 
 
-def _narrow(keys: DataFrame) -> DataFrame:
-    """Keep only the slice of each hot order that holds its n-th key.
-
-    Slices are cut at a hashed sample of the order's own keys. Any cut points give the same
-    answer, a good sample only balances the work.
-    """
-    every = F.greatest(F.floor(F.col("size") / (PIECES - 1)), F.lit(1))
-    cuts = (
-        keys.where(F.pmod(F.xxhash64("key"), every) == 0)
-        .groupBy("order_number")
-        .agg(F.array_sort(F.collect_list("key")).alias("cuts"))
-    )
-    placed = keys.join(cuts, "order_number", "left").withColumn(
-        "piece",
-        F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("key"))), F.lit(0)),
-    ).drop("cuts")
-    upto = Window.partitionBy("order_number").orderBy("piece")
-    target = (
-        placed.groupBy("order_number", "piece")
-        .agg(F.count("*").alias("in_piece"), F.first("nth").alias("want"))
-        .withColumn("through", F.sum("in_piece").over(upto))
-        .where((F.col("want") <= F.col("through"))
-               & (F.col("want") > F.col("through") - F.col("in_piece")))
-        .select("order_number", "piece", "in_piece",
-                (F.col("want") - F.col("through") + F.col("in_piece")).alias("left_to_go"))
-    )
-    return placed.join(target, ["order_number", "piece"]).select(
-        "order_number", "key", F.col("left_to_go").alias("nth"), F.col("in_piece").alias("size")
-    )
-
-
-def nth_stub(keys: DataFrame, hot_order: int | None = None) -> DataFrame:
-    """The n-th smallest key per order, from rows (order_number, key, nth, size).
-
-    Without ``hot_order`` a window ranks each order in one task. With it, orders above that
-    size are first narrowed twice, each time to about 1/256 of their rows.
-    """
-    ranked = keys
-    if hot_order is not None:
-        narrowed = _narrow(_narrow(keys.where(F.col("size") > hot_order)))
-        ranked = keys.where(F.col("size") <= hot_order).unionByName(narrowed)
-    window = Window.partitionBy("order_number").orderBy("key")
-    return (
-        ranked.withColumn("rank", F.row_number().over(window))
-        .where("rank = nth")
-        .select("order_number", F.col("key").alias("last_paid"))
-    )
-
-
-def paid_cutoff(
-    guests: DataFrame, context: DataFrame, hot_order: int = HOT_ORDER
-) -> DataFrame:
-    """Per order with some but not all stubs paid: the sort key of its last paid stub.
+def nth_stub(keys: DataFrame) -> DataFrame:
+    """The n-th smallest key per order, from rows (order_number, key, nth); keys are distinct.
 
-    ``context`` should be staged: its largest mixed order decides whether hot orders need
-    their own path.
+    The keys are range-sorted over the cluster and written with a running number. An order then
+    lies in neighbouring partitions, however large it is. Counts per (order, partition) tell in
+    which partition its n-th key is, and the running number which row that is.
     """
+    ordered = stage(
+        keys.repartitionByRange("order_number", "key")
+        .sortWithinPartitions("order_number", "key")
+        .withColumn("_at", F.monotonically_increasing_id()), "ordered-stubs")
+    # The number holds the partition in its upper bits, see monotonically_increasing_id.
+    parts = ordered.groupBy("order_number", F.shiftright("_at", 33).alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count("*").alias("_n"), F.min("nth").alias("nth"))
+    through = F.sum("_n").over(Window.partitionBy("order_number").orderBy("_part"))
+    before = F.col("_through") - F.col("_n")
+    wanted = parts.withColumn("_through", through).where(
+        (F.col("nth") > before) & (F.col("nth") <= F.col("_through"))
+    ).select("order_number", (F.col("_first") + F.col("nth") - before - 1).alias("_at"))
+    return ordered.join(wanted, ["order_number", "_at"]).select(
+        "order_number", F.col("key").alias("last_paid"))
+
+
+def paid_cutoff(guests: DataFrame, context: DataFrame) -> DataFrame:
+    """Per order with some but not all stubs paid: the sort key of its last paid stub."""
     mixed = context.where("paid_tickets_per_order > 0 and paid_tickets_per_order < holders")
-    largest = mixed.agg(F.max("holders")).first()[0] or 0
     holders = guests.where("guest_type = 'TICKET_HOLDER'").select(
         "order_number", stub_key(F.col("ticket_number"), F.col("_ord")).alias("key")
     )
-    keys = holders.join(
-        mixed.select("order_number", F.col("paid_tickets_per_order").alias("nth"),
-                     F.col("holders").alias("size")),
-        "order_number",
-    )
-    return nth_stub(keys, hot_order if largest > hot_order else None)
+    return nth_stub(holders.join(
+        mixed.select("order_number", F.col("paid_tickets_per_order").alias("nth")),
+        "order_number"))
 
 
 def is_paid_stub(guest_type: Column, key: Column) -> Column:

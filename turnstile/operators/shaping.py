@@ -66,14 +66,20 @@ def variant_text(v: Column) -> Column:
 
 
 def last_entries(entries: Column) -> Column:
-    """Map of an array of (key, value) structs in which the last of equal keys wins."""
-    kept = F.filter(
-        entries,
-        lambda x, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda y: y["key"] == x["key"]
-        ),
-    )
-    return F.map_from_entries(kept)
+    """Map of an array of (key, value) structs in which the last of equal keys wins.
+
+    Sorted by key and place, an entry stays if the next one has another key.
+    """
+    placed = F.transform(entries, lambda x, i: F.struct(
+        x["key"].alias("key"), i.alias("place"), x["value"].alias("value")))
+    ordered = F.array_sort(placed, lambda a, b: F.when(a["key"] < b["key"], -1).when(
+        a["key"] > b["key"], 1).otherwise(a["place"] - b["place"]))
+    kept = F.filter(F.transform(
+        F.arrays_zip(ordered.alias("a"), F.slice(ordered, 2, F.size(ordered)).alias("b")),
+        lambda z: F.struct(z["a"]["key"].alias("key"), z["a"]["value"].alias("value"),
+                           (z["a"]["key"] == z["b"]["key"]).alias("again"))),
+        lambda x: ~F.coalesce(x["again"], F.lit(False)))
+    return F.map_from_entries(F.transform(kept, lambda x: F.struct(x["key"], x["value"])))
 
 
 def _aligned(c: Column, have: T.DataType, want: T.DataType) -> Column:

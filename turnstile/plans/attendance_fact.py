@@ -19,10 +19,11 @@ from turnstile.operators.dims import (
     match_ticket_definitions,
     person_dim,
     prefixed,
+    spread_key,
     ticket_lookup,
 )
 from turnstile.operators.headcount import count_people, ticket_stubs
-from turnstile.operators.orders import HOT_ORDER, order_context
+from turnstile.operators.orders import order_context
 from turnstile.session import stage
 
 
@@ -112,7 +113,6 @@ def build_attendance_fact(
     order_summaries: DataFrame,
     payments: DataFrame,
     include_inactive: bool = False,
-    hot_order: int = HOT_ORDER,
 ) -> DataFrame:
     """Build the attendance fact.
 
@@ -123,7 +123,8 @@ def build_attendance_fact(
     and ``price_value`` are null and the joined values are in the ``*_text`` columns.
     """
     context = order_context(guests, payments)
-    stubs = count_people(ticket_stubs(guests, context, include_inactive, hot_order))
+    kept = stage(ticket_stubs(guests, context, include_inactive), "stubs")
+    stubs = count_people(kept)
     person = F.coalesce(blank_to_null(F.col("buyer_contact_id")), F.col("contact_id"))
     rows = stubs.withColumn("_who", person)
     rows = join_dim(
@@ -145,8 +146,8 @@ def build_attendance_fact(
         "ticket_definition_id", "_definition", "_ord",
     )
     signals = stage(
-        match_ticket_definitions(order_baskets(guests, context), ticket_definitions), "signals")
-    rows = rows.withColumn("_product", blank_to_null(F.col("product_name")))
+        match_ticket_definitions(stub_baskets(kept), ticket_definitions), "signals")
+    rows = rows.withColumn("_product", spread_key(F.col("product_name"), F.col("_ord")))
     rows = rows.join(
         signals,
         (F.col("event_id") == F.col("_td_event")) & (F.col("_product") == F.col("_td_product")),
@@ -235,6 +236,12 @@ def build_attendance_fact(
     return rows.select(*[e.alias(n) for n, e in columns.items()])
 
 
+def stub_baskets(stubs: DataFrame) -> DataFrame:
+    """Distinct (event, product text) of kept stubs, the input of definition matching."""
+    return stubs.where(F.length("product_name") > 0).select(
+        "event_id", "product_name").distinct()
+
+
 def order_baskets(guests: DataFrame, context: DataFrame) -> DataFrame:
     """Distinct (event, product text) of ordered stubs, the input of definition matching."""
     placed = guests.where(

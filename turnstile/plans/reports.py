@@ -205,8 +205,12 @@ def events_by_status(events: DataFrame) -> DataFrame:
 
 
 def sales_summary(event_orders: DataFrame) -> DataFrame:
-    """Orders, tickets and total per event, with the overall row under a null event."""
-    return event_orders.where("event_id IS NOT NULL").rollup("event_id").agg(
+    """Orders, tickets and total per event and over all; ``overall`` marks the latter.
+
+    Orders without an event have a row of their own and are part of the total.
+    """
+    return event_orders.rollup("event_id").agg(
+        (F.grouping_id() == 1).alias("overall"),
         F.count("*").alias("total_orders"),
         F.sum(F.col("tickets_quantity").cast("bigint")).alias("total_tickets"),
         money_sum("total").alias("total_sales"))

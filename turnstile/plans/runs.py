@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from turnstile.operators import flatten_events as events
 from turnstile.operators import flatten_forms as forms
@@ -13,7 +14,8 @@ from turnstile.operators import flatten_sales as sales
 from turnstile.operators.enrich import exclude_rsvp_guests, tickets_with_definitions
 from turnstile.plans.attendance_fact import build_attendance_fact
 from turnstile.plans.payments_fact import build_payments_fact
-from turnstile.sources.bronze import bronze_range, bronze_read
+from turnstile.schemas import raw_schema
+from turnstile.sources.bronze import bronze_read, resolve_snapshots, snapshot_ids, snapshot_list
 from turnstile.sources.manifest import RunManifest
 from turnstile.sources.tables import table_read, table_write
 
@@ -34,84 +36,143 @@ FLATTENERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# What each fact reads.
+NEEDED = {
+    "attendance_fact": ("guests", "events", "contacts", "members", "ticket_definitions", "tickets",
+                        "order_summaries", "payments"),
+    "payments_fact": ("payments", "event_orders", "events", "contacts", "members",
+                      "order_summaries"),
+}
+
+
+def empty_raw(spark: SparkSession, entity: str) -> DataFrame:
+    """A snapshot of an entity without records."""
+    return spark.createDataFrame([], T.StructType(
+        raw_schema(entity).fields + [T.StructField("_ord", T.LongType())]))
+
+
+def flatten_entity(entity: str, raw: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """The flat tables of one entity of one snapshot, by name; ``raw`` gives its records.
+
+    Guests of RSVP events are left out and guest gaps filled from contacts; tickets get their
+    definition columns; events split into ``events`` and ``rsvp_events``; form submissions
+    come wide and long.
+    """
+    records = raw(entity)
+    flat = FLATTENERS[entity](records)
+    if entity == "events":
+        parts = events.split_events_by_type(flat)
+        return {"events": parts["ticketing"], "rsvp_events": parts["rsvp"]}
+    if entity == "guests":
+        flat = exclude_rsvp_guests(flat, events.flatten_events(raw("events")))
+        flat = people.enrich_guests(flat, raw("contacts"))
+    elif entity == "tickets":
+        templates = sales.flatten_ticket_definitions(raw("ticket_definitions"))
+        flat = tickets_with_definitions(flat, templates)
+    elif entity == "form_submissions":
+        return {entity: flat, "form_submissions_long": forms.flatten_submissions_long(records)}
+    return {entity: flat}
+
+
 def build_flat_tables(
     spark: SparkSession, raw_root: str, table_root: str, snapshot: str,
     entities: list[str] | None = None, array_files: bool = False,
-    manifest: RunManifest | None = None,
+    manifest: RunManifest | None = None, names: dict[str, dict[str, str]] | None = None,
 ) -> RunManifest:
     """Flatten the entities of one snapshot. A failing entity is recorded, others go on.
 
-    Guests of RSVP events are left out and guest gaps filled from contacts; tickets get their
-    definition columns; events split into ``events`` and ``rsvp_events``.
+    Records that do not parse go to the table ``rejects_<entity>`` with their text, and their
+    number to the manifest. ``names`` gives the source's field names per entity.
     """
     manifest = manifest or RunManifest(spark, snapshot)
 
+    def whole(entity: str) -> DataFrame:
+        return bronze_read(spark, raw_root, entity, snapshot, array_file=array_files,
+                           names=(names or {}).get(entity))
+
     def raw(entity: str) -> DataFrame:
-        return bronze_read(spark, raw_root, entity, snapshot, array_file=array_files)
+        return whole(entity).where("_corrupt_record IS NULL")
 
     for entity in entities or list(FLATTENERS):
         try:
             with manifest.stage(entity) as stage:
-                records = raw(entity)
+                records = whole(entity)
                 if records.isEmpty():
                     continue
-                flat = FLATTENERS[entity](records)
-                if entity == "events":
-                    parts = events.split_events_by_type(flat)
-                    table_write(parts["rsvp"], table_root, "rsvp_events", snapshot)
-                    flat = parts["ticketing"]
-                elif entity == "guests":
-                    flat = exclude_rsvp_guests(flat, events.flatten_events(raw("events")))
-                    flat = people.enrich_guests(flat, raw("contacts"))
-                elif entity == "tickets":
-                    templates = sales.flatten_ticket_definitions(raw("ticket_definitions"))
-                    flat = tickets_with_definitions(flat, templates)
-                elif entity == "form_submissions":
-                    long = forms.flatten_submissions_long(records)
-                    table_write(long, table_root, "form_submissions_long", snapshot)
-                path = table_write(stage.counted(flat), table_root, entity, snapshot)
-                stage.record(raw_path=f"{raw_root}/{entity}", table_path=path)
+                extra = {}
+                rejects = records.where("_corrupt_record IS NOT NULL").select(
+                    "_ord", "_corrupt_record")
+                # Not count(): Spark refuses to read nothing but the column of bad records.
+                n_rejects = rejects.agg(F.count("*").alias("n"), F.max("_ord")).first()["n"]
+                if n_rejects:
+                    extra = {"rejected_rows": str(n_rejects), "rejects": table_write(
+                        rejects, table_root, f"rejects_{entity}", snapshot)}
+                main, *others = flatten_entity(entity, raw).items()
+                for name, flat in others:
+                    extra[name] = table_write(flat, table_root, name, snapshot)
+                path = table_write(stage.counted(main[1]), table_root, main[0], snapshot)
+                stage.record(raw_path=f"{raw_root}/{entity}", table_path=path, extra_paths=extra)
         except Exception:  # noqa: BLE001 - recorded in the manifest
             continue
     return manifest
 
 
+def flat_table(spark: SparkSession, table_root: str, entity: str, snapshot: str) -> DataFrame:
+    """A flat table of a snapshot; one that was never written has no rows."""
+    try:
+        return table_read(spark, table_root, entity, snapshot)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return flatten_entity(entity, lambda name: empty_raw(spark, name))[entity]
+
+
 def build_facts(
     spark: SparkSession, table_root: str, snapshot: str,
     manifest: RunManifest | None = None, include_inactive: bool = False,
 ) -> RunManifest:
-    """Build both facts of one snapshot from its flat tables."""
+    """Build both facts of one snapshot from its flat tables.
+
+    Entities without records count as empty; a fact is refused if an entity it needs failed.
+    """
     manifest = manifest or RunManifest(spark, snapshot)
 
-    def flat(name: str) -> DataFrame:
-        return table_read(spark, table_root, name, snapshot)
+    def inputs(fact: str) -> list[DataFrame]:
+        if broken := manifest.failed().intersection(NEEDED[fact]):
+            raise RuntimeError(f"{fact} needs entities that failed: {', '.join(sorted(broken))}")
+        return [flat_table(spark, table_root, name, snapshot) for name in NEEDED[fact]]
 
     with manifest.stage("attendance_fact") as stage:
-        fact = build_attendance_fact(
-            flat("guests"), flat("events"), flat("contacts"), flat("members"),
-            flat("ticket_definitions"), flat("tickets"), flat("order_summaries"),
-            flat("payments"), include_inactive)
+        fact = build_attendance_fact(*inputs("attendance_fact"), include_inactive)
         stage.record(table_path=table_write(
             stage.counted(fact), table_root, "attendance_fact", snapshot))
     with manifest.stage("payments_fact") as stage:
-        fact = build_payments_fact(
-            flat("payments"), flat("event_orders"), flat("events"), flat("contacts"),
-            flat("members"), flat("order_summaries"))
+        fact = build_payments_fact(*inputs("payments_fact"))
         stage.record(table_path=table_write(
             stage.counted(fact), table_root, "payments_fact", snapshot))
     return manifest
 
 
+def run_snapshots(
+    spark: SparkSession, raw_root: str, table_root: str, which: str = "latest",
+    array_files: bool = False,
+) -> list[RunManifest]:
+    """Full runs of the ``latest`` snapshot, of ``all`` or of one id; newest first."""
+    runs = []
+    for snapshot in resolve_snapshots(snapshot_list(spark, raw_root), which):
+        run = build_flat_tables(spark, raw_root, table_root, snapshot, array_files=array_files)
+        runs.append(build_facts(spark, table_root, snapshot, run))
+    return runs
+
+
 def backfill(
     spark: SparkSession, raw_root: str, table_root: str, start: str, end: str,
-    entities: list[str],
-) -> dict[str, str]:
-    """Flatten again every snapshot dated in [start, end); other snapshots stay untouched."""
-    paths = {}
-    for entity in entities:
-        flat = FLATTENERS[entity](bronze_range(spark, raw_root, entity, start, end))
-        paths[entity] = table_write(flat, table_root, entity)
-    return paths
+    entities: list[str], array_files: bool = False,
+) -> list[RunManifest]:
+    """Flatten again every snapshot dated in [start, end), by the same steps as a first run;
+    other snapshots stay untouched."""
+    ids = sorted({i for e in entities for i in snapshot_ids(spark, raw_root, e, start, end)})
+    return [build_flat_tables(spark, raw_root, table_root, i, entities, array_files) for i in ids]
 
 
 def incremental_cutoff(table: DataFrame, updated: str = "updated_datetime") -> str | None:

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "turnstile", **conf: str) -
         "spark.ui.enabled": "false",
         **conf,
     }
+    # A session of one machine may keep its intermediate tables there.
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="turnstile-"))
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -27,24 +29,22 @@ def local_session(cores: int | str = "*", app: str = "turnstile", **conf: str) -
     return spark
 
 
-_local_scratch: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """This application's folder for intermediate tables, below ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors share one disk, may fall back to a temporary folder.
+    The cluster names that setting; a session without it is an error, as a folder of one
+    machine would lose data with that machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="turnstile-")
-    return _local_scratch[context.applicationId]
+    return f"{shared.rstrip('/')}/turnstile-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it when their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -33,18 +33,33 @@ def bronze_write(df: DataFrame, root: str, entity: str, snapshot: str) -> str:
     return path
 
 
+def _renamed(kind: T.DataType, names: dict[str, str], at: str = "") -> T.DataType:
+    """A type with the fields of the source; ``names`` maps dotted paths to source names."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_renamed(kind.elementType, names, at), kind.containsNull)
+    if not isinstance(kind, T.StructType):
+        return kind
+    return T.StructType([
+        T.StructField(names.get(f"{at}{f.name}", f.name),
+                      _renamed(f.dataType, names, f"{at}{f.name}."), f.nullable)
+        for f in kind.fields])
+
+
 def bronze_read(
     spark: SparkSession, root: str, entity: str, snapshot: str,
     schema: T.StructType | None = None, array_file: bool = False,
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """Raw records of one snapshot with ``_ord``, ``run_id`` and ``_corrupt_record``.
 
     A missing snapshot reads as an empty table. Records that do not parse keep their text in
     ``_corrupt_record`` instead of vanishing. In an array file Spark cannot tell which record
     a bad field belongs to: the field reads as null and its record stays. Written snapshots
-    carry ``_ord``; for an array file it is the position in the file.
+    carry ``_ord``; for an array file it is the position in the file. ``names`` maps fields,
+    as dotted paths of the schema, to the names they have in the source.
     """
-    schema = schema or raw_schema(entity)
+    target = schema or raw_schema(entity)
+    schema = _renamed(target, names or {})
     corrupt = T.StructField("_corrupt_record", T.StringType())
     wanted = schema if array_file else T.StructType(
         schema.fields + [corrupt, T.StructField("_ord", T.LongType())])
@@ -57,6 +72,11 @@ def bronze_read(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         raw = spark.createDataFrame([], wanted)
+    if names:
+        raw = raw.select(
+            *[F.col(f"`{have.name}`").cast(want.dataType).alias(want.name)
+              for have, want in zip(schema.fields, target.fields, strict=True)],
+            *[c for c in ("_corrupt_record", "_ord") if c in raw.columns])
     if array_file:
         raw = raw.withColumns({
             "_ord": F.monotonically_increasing_id(),
@@ -126,17 +146,33 @@ def union_sources(frames: list[DataFrame | None]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
-def bronze_range(
+def snapshot_ids(
     spark: SparkSession, root: str, entity: str, start: str, end: str
-) -> DataFrame:
-    """Written snapshots dated in [start, end), found by day folders."""
+) -> list[str]:
+    """Snapshots of an entity dated in [start, end), listed from their day folders only."""
     first, last = date.fromisoformat(start), date.fromisoformat(end)
     if first >= last:
         raise ValueError("start date must be before end date")
-    days = snapshot_list(spark, f"{root}/{entity}").where(
-        (F.col("snapshot_id") >= first.strftime("%Y%m%d"))
-        & (F.col("snapshot_id") <= (last - timedelta(days=1)).strftime("%Y%m%d") + "_999999"))
-    ids = [r["snapshot_id"] for r in days.select("snapshot_id").distinct().collect()]
+    days: dict[tuple[int, int], list[str]] = {}
+    for n in range((last - first).days):
+        day = first + timedelta(days=n)
+        days.setdefault((day.year, day.month), []).append(f"{day.day:02d}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    found: set[str] = set()
+    for (year, month), numbers in days.items():
+        path = hadoop(f"{root}/{entity}/year={year:04d}/month={month:02d}/"
+                      f"day={{{','.join(numbers)}}}/snapshot_*")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        names = [re.search(SNAPSHOT_ID, f.getPath().getName()) for f in files]
+        found.update(m[1] for m in names if m)
+    return sorted(found)
+
+
+def bronze_range(
+    spark: SparkSession, root: str, entity: str, start: str, end: str
+) -> DataFrame:
+    """Written snapshots dated in [start, end), found by day folders."""
+    ids = snapshot_ids(spark, root, entity, start, end)
     schema = T.StructType(raw_schema(entity).fields + [
         T.StructField("_corrupt_record", T.StringType()), T.StructField("_ord", T.LongType())])
     if not ids:
@@ -144,3 +180,12 @@ def bronze_range(
     raw = spark.read.schema(schema).json([snapshot_path(root, entity, i) for i in ids])
     return raw.withColumn(
         "run_id", F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_ID, 1))
+
+
+def array_to_lines(spark: SparkSession, root: str, entity: str, snapshot: str, to_root: str) -> str:
+    """Write an as-pulled array snapshot once as JSON lines with ``_ord``.
+
+    Spark reads an array file in one task; every later read of the lines is split.
+    """
+    rows = bronze_read(spark, root, entity, snapshot, array_file=True)
+    return bronze_write(rows.drop("run_id", "_corrupt_record"), to_root, entity, snapshot)

@@ -57,6 +57,10 @@ class RunManifest:
             took = int((time.perf_counter() - start) * 1000)
             self._rows[entity] = {"row_count": 0, "duration_ms": took, **outcome}
 
+    def failed(self) -> set[str]:
+        """Entities whose stage failed in this run."""
+        return {e for e, row in self._rows.items() if row["status"] == "failed"}
+
     def table(self) -> DataFrame:
         """The manifest so far."""
         names = [f.split()[0] for f in MANIFEST_DDL.split(", ")]

@@ -26,7 +26,7 @@ def table_write(df: DataFrame, root: str, name: str, snapshot: str | None = None
 
 
 def table_read(spark: SparkSession, root: str, name: str, snapshot: str) -> DataFrame:
-    """One snapshot of a table; only its partition is listed and read."""
+    """One snapshot of a table; only its partition is listed and read. Missing is an error."""
     return spark.read.option("basePath", f"{root}/{name}").parquet(
         f"{root}/{name}/run_id={snapshot}").drop("run_id")
 
@@ -57,12 +57,21 @@ def csv_export(df: DataFrame, path: str, encoding: str = "utf-8-sig") -> None:
         "emptyValue", "").csv(path)
 
 
-def csv_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read exported CSV; missing-value words become null. Untyped without a schema."""
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(
-        path)
+def csv_read(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
+) -> DataFrame:
+    """Read exported CSV; untyped without a schema.
+
+    Missing-value words become null, but in a text column of a given schema only empty text
+    does: there "None" or "NA" may be a name. Without ``line_breaks`` in texts Spark can split
+    a file over many tasks.
+    """
+    raw = spark.read.option("header", True).option("escape", '"').option(
+        "multiLine", line_breaks).csv(path)
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)} if schema else ()
     clean = raw.select(*[
-        F.when(~F.col(f"`{c}`").isin(NA_WORDS), F.col(f"`{c}`")).alias(c.lstrip(BOM))
+        F.when(~F.col(f"`{c}`").isin([""] if c.lstrip(BOM) in texts else NA_WORDS),
+               F.col(f"`{c}`")).alias(c.lstrip(BOM))
         for c in raw.columns
     ])
     if schema is None:

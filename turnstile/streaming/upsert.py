@@ -12,38 +12,54 @@ from pyspark.sql.streaming import StreamingQuery
 from turnstile.operators.enrich import upsert_latest
 from turnstile.session import scratch_root
 
-BUCKETS = 256
+
+
+def existing_buckets(spark: SparkSession, target: str) -> tuple[DataFrame | None, int | None]:
+    """The table and its number of buckets, or nothing if there is no table yet.
+
+    Any other error of reading is raised: a table that cannot be read must not be replaced.
+    """
+    try:
+        table = spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, None
+    row = table.select("buckets").first()
+    return (table, row["buckets"]) if row else (None, None)
 
 
 def upsert_batch(
-    target: str, batch: DataFrame, key: str, updated: str, buckets: int = BUCKETS
+    target: str, batch: DataFrame, key: str, updated: str, buckets: int | None = None
 ) -> None:
     """Merge a batch into a table partitioned by key hash, rewriting only touched buckets.
 
+    The number of buckets is set when the table is made (the session's shuffle partitions
+    unless given, so a larger session makes a finer table) and kept with it as ``buckets``.
     Merging twice gives the same table, so a batch repeated after a failure does no harm.
     """
     spark = batch.sparkSession
+    table, known = existing_buckets(spark, target)
+    buckets = known or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    delta = batch.where(F.length(key) > 0).withColumn("bucket", bucket)
+    delta = batch.where(F.length(key) > 0).withColumn(
+        "buckets", F.lit(buckets)).withColumn("bucket", bucket)
     touched = [r["bucket"] for r in delta.select("bucket").distinct().collect()]
     if not touched:
         return
-    try:
-        existing = spark.read.parquet(target).where(F.col("bucket").isin(touched))
-    except AnalysisException:
-        existing = delta.limit(0)
+    existing = delta.limit(0) if table is None else table.where(F.col("bucket").isin(touched))
     # Written aside first: a table cannot be read and overwritten in one job.
     aside = f"{scratch_root(spark)}/upsert-{uuid.uuid4().hex}"
     upsert_latest(existing, delta, key, updated).write.parquet(aside)
     merged = spark.read.parquet(aside)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "bucket").parquet(target)
+        "buckets", "bucket").parquet(target)
 
 
 def stream_upsert(
     spark: SparkSession, source: str, schema: T.StructType,
     flatten: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, key: str,
-    updated: str = "updated_datetime", buckets: int = BUCKETS,
+    updated: str = "updated_datetime", buckets: int | None = None,
 ) -> StreamingQuery:
     """Process every raw file not seen before and stop; call again for the next files."""
     wanted = T.StructType(schema.fields + [T.StructField("_ord", T.LongType())])
