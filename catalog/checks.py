@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalog.base import query
 from turnstile.functions import (
@@ -26,6 +26,8 @@ from turnstile.functions import (
 )
 from turnstile.functions.similarity import indel_ratio, sorted_tokens
 from turnstile.operators import linkage, quality
+from turnstile.operators.shaping import conform
+from turnstile.schemas import raw_schema
 from turnstile.session import scratch_root, stage
 from turnstile.sources import bronze, manifest, tables
 
@@ -363,19 +365,19 @@ def _(lake):
 @linked("u2_common_emails", "SELECT email FROM aa INTERSECT SELECT email FROM ab")
 def _(lake):
     a, b = attendees(lake)
-    return a.select("email").intersect(b.select("email"))
+    return linkage.common_values(a, b)
 
 
 @linked("u3_emails_only_a", "SELECT email FROM aa EXCEPT SELECT email FROM ab")
 def _(lake):
     a, b = attendees(lake)
-    return a.select("email").subtract(b.select("email"))
+    return linkage.values_only_in(a, b)
 
 
 @linked("u3_emails_only_b", "SELECT email FROM ab EXCEPT SELECT email FROM aa")
 def _(lake):
     a, b = attendees(lake)
-    return b.select("email").subtract(a.select("email"))
+    return linkage.values_only_in(b, a)
 
 
 @query("dq1_null_counts", """
@@ -507,6 +509,29 @@ def _(lake):
         "entity", "snapshot_id", "age_days")
 
 
+@query("s3_resolve_snapshots", """
+    SELECT max(strftime(o_orderdate, '%Y%m') || '01_000000') AS snapshot_id FROM orders""")
+def _(lake):
+    root = fresh(lake, "raw")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    lake.orders.select(
+        "o_orderkey", F.substring(month, 1, 4).alias("year"), F.substring(month, 5, 2).alias("month"),
+        F.lit("01").alias("day"), F.concat(month, F.lit("01_000000")).alias("snapshot")
+    ).repartition("snapshot").write.partitionBy("year", "month", "day", "snapshot").json(
+        f"{root}/orders")
+    latest = bronze.resolve_snapshots(bronze.snapshot_list(lake.spark, root), "latest")
+    return lake.spark.createDataFrame([(i,) for i in latest], "snapshot_id string")
+
+
+@query("s6_latest_file", "SELECT c_custkey, c_name FROM customer")
+def _(lake):
+    # Two exports; the one written last is found by its modification time.
+    root = fresh(lake, "exports")
+    lake.supplier.select("s_suppkey", "s_name").coalesce(1).write.parquet(f"{root}/first")
+    lake.customer.select("c_custkey", "c_name").coalesce(1).write.parquet(f"{root}/second")
+    return lake.spark.read.parquet(bronze.latest_file(lake.spark, root, "part-"))
+
+
 @query("s4_s5_csv_roundtrip", """
     SELECT doc_id, lang, text FROM documents""")
 def _(lake):
@@ -534,17 +559,54 @@ def _(lake):
         "entity", "status", "row_count")
 
 
+EVENT_RAW = """SELECT CAST(n_nationkey AS STRING) AS id, n_name AS title,
+    named_struct('type', CASE WHEN n_regionkey = 1 THEN 'RSVP' ELSE 'TICKETING' END)
+      AS registration, n_nationkey AS _ord FROM {nation}"""
+GUEST_RAW = """SELECT CAST(c_custkey AS STRING) AS id, CAST(c_nationkey AS STRING) AS eventId,
+    'TICKET_HOLDER' AS guestType, 'o' || c_custkey AS orderNumber, c_custkey AS _ord
+    FROM {customer}"""
+
+
+def write_snapshots(lake, root: str, *snapshots: str) -> None:
+    """Raw events and guests made of the nations and customers."""
+    for entity, sql in (("events", EVENT_RAW), ("guests", GUEST_RAW)):
+        schema = T.StructType([*raw_schema(entity).fields, T.StructField("_ord", T.LongType())])
+        raw = conform(lake.sql(sql), schema)
+        for snapshot in snapshots:
+            bronze.bronze_write(raw, root, entity, snapshot)
+
+
 @query("s12_backfill", """
-    SELECT CAST(c_custkey AS VARCHAR) AS member_id, '20260112_000000' AS run_id FROM customer""")
+    SELECT 'guests' AS entity, CAST(c_custkey AS VARCHAR) AS id, '20260112_000000' AS run_id
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 1
+    UNION ALL SELECT CASE WHEN n_regionkey = 1 THEN 'rsvp_events' ELSE 'events' END,
+      CAST(n_nationkey AS VARCHAR), '20260112_000000' FROM nation""")
 def _(lake):
     from turnstile.plans.runs import backfill
 
-    raw = lake.sql("""SELECT CAST(c_custkey AS STRING) AS id, c_custkey AS _ord FROM {customer}""")
     root, out = fresh(lake, "raw"), fresh(lake, "tables")
-    for run in ("20260105_000000", "20260112_000000"):
-        bronze.bronze_write(raw, root, "members", run)
-    backfill(lake.spark, root, out, "2026-01-10", "2026-02-01", ["members"])
-    return lake.spark.read.parquet(f"{out}/members").select("member_id", "run_id")
+    write_snapshots(lake, root, "20260105_000000", "20260112_000000")
+    backfill(lake.spark, root, out, "2026-01-10", "2026-02-01", ["events", "guests"])
+    tables_ = [lake.spark.read.parquet(f"{out}/{name}").select(
+        F.lit(name).alias("entity"), F.col(key).alias("id"), "run_id")
+        for name, key in (("guests", "guest_id"), ("events", "event_id"), ("rsvp_events", "event_id"))]
+    return tables_[0].unionByName(tables_[1]).unionByName(tables_[2])
+
+
+@query("r2_full_run", """
+    SELECT guest_id, event_id, title AS event_title FROM (
+      SELECT CAST(c_custkey AS VARCHAR) AS guest_id, CAST(c_nationkey AS VARCHAR) AS event_id,
+        n_name AS title FROM customer JOIN nation ON c_nationkey = n_nationkey
+      WHERE n_regionkey <> 1)""")
+def _(lake):
+    # The latest of two snapshots; all entities but events and guests are empty.
+    from turnstile.plans.runs import run_snapshots
+
+    root, out = fresh(lake, "raw"), fresh(lake, "tables")
+    write_snapshots(lake, root, "20260105_000000", "20260112_000000")
+    run_snapshots(lake.spark, root, out, "latest")
+    return tables.table_read(lake.spark, out, "attendance_fact", "20260112_000000").select(
+        "guest_id", "event_id", "event_title")
 
 
 @query("r1_stream_upsert", """

@@ -90,10 +90,7 @@ def _(lake):
 @query("w4_first_buyer", ORDER_CTES + """
     SELECT order_number, guest_id, contact_id FROM buyer""", STUB_ENTITIES)
 def _(lake):
-    buyers = lake.t_guest.where("guest_type = 'BUYER' AND length(order_number) > 0")
-    return buyers.groupBy("order_number").agg(
-        F.min_by(F.struct("guest_id", "contact_id"), "_ord").alias("b")
-    ).select("order_number", "b.*")
+    return orders.first_buyer(lake.t_guest)
 
 
 @query("a4_paid_tickets_per_order", ORDER_CTES + """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalog import gold
 from catalog.base import Lake, query
@@ -13,7 +13,7 @@ from catalog.gold_sql import (
     attendance_ctes,
 )
 from turnstile.functions.values import midpoint_price
-from turnstile.operators import enrich, filters, flatten_people, tidy
+from turnstile.operators import enrich, filters, flatten_forms, flatten_people, tidy
 from turnstile.operators.shaping import conform
 from turnstile.plans import reports, views
 from turnstile.schemas import raw_schema
@@ -241,9 +241,16 @@ on_seen("l3_popular_events", """
     SELECT event_id, title, start_date, total_guests, unique_contacts, buyer_count,
       ticket_holder_count FROM seen ORDER BY total_guests DESC, event_id LIMIT 20""")(
     reports.popular_events)
-on_seen("p5_empty_events", """
-    SELECT event_id, title, start_date, status FROM seen WHERE total_guests = 0""")(
-    reports.empty_events)
+@query("p5_empty_events", """
+    SELECT event_id, title, start_date, status FROM t_event
+    WHERE event_id NOT IN (SELECT event_id FROM t_guest
+      WHERE created_date = '1996-03-02' AND event_id IS NOT NULL)""", "t_event t_guest")
+def _(lake):
+    # Over the whole time every event of the test data has guests, but not on each day.
+    one_day = lake.t_guest.where("created_date = '1996-03-02'")
+    return reports.empty_events(views.event_attendance(lake.t_event, one_day))
+
+
 on_seen("a21_category_stats", """
     SELECT category_names, count(*) AS event_count,
       CAST(sum(total_guests) AS BIGINT) AS total_attendances,
@@ -350,6 +357,34 @@ def _(lake):
     return found.select("order_number", "event_id", "channel")
 
 
+for _name, _entity, _where, _sql in (
+    ("p6_event_by_id", "t_event", {"event_id": "3"}, "event_id = '3'"),
+    ("p6_event_by_slug", "t_event", {"slug": ["supplier-000000003", "none"]},
+     "slug IN ('supplier-000000003', 'none')"),
+    ("p6_events_by_category", "t_event", {"category_names": "MIDDLE EAST, NATION_9"},
+     "category_names = 'MIDDLE EAST, NATION_9'"),
+    ("p6_event_guests", "t_guest", {"event_id": "3", "guest_type": "TICKET_HOLDER"},
+     "event_id = '3' AND guest_type = 'TICKET_HOLDER'"),
+    ("p6_event_tickets", "t_ticket", {"event_id": "3"}, "event_id = '3'"),
+    ("p6_order_by_number", "t_order", {"order_number": "7"}, "order_number = '7'"),
+):
+    _key = {"t_event": "event_id", "t_guest": "guest_id", "t_ticket": "ticket_number",
+            "t_order": "order_number"}[_entity]
+    query(_name, f"SELECT {_key} FROM {_entity} WHERE {_sql}", _entity)(
+        lambda lake, e=_entity, w=_where, k=_key: filters.find(getattr(lake, e), w).select(k))
+
+
+@query("p6_form_submissions", """
+    SELECT CAST(page_id AS VARCHAR) AS submission_id FROM pages WHERE page_id % 5 = 2""")
+def _(lake):
+    raw = lake.sql("""SELECT CAST(page_id AS STRING) AS id,
+        'form-' || (page_id % 5) AS formId, page_id AS _ord FROM {pages}""")
+    schema = T.StructType([*raw_schema("form_submissions").fields,
+                           T.StructField("_ord", T.LongType())])
+    flat = flatten_forms.flatten_submissions_wide(conform(raw, schema))
+    return filters.find(flat, {"form_id": "form-2"}).select("submission_id")
+
+
 @query("a29_identity_fill_rates", """
     SELECT count(nullif(first_name, '')) / count(*) AS first_name,
       count(nullif(last_name, '')) / count(*) AS last_name, count(email) / count(*) AS email

@@ -93,6 +93,16 @@ def combined_summary(summary: DataFrame, fuzzy: DataFrame, confident: float = 90
         {"total_crossover": total, "match_rate": rate.cast("double")})
 
 
+def common_values(a: DataFrame, b: DataFrame, column: str = "email") -> DataFrame:
+    """Distinct values of a column that both tables have."""
+    return a.select(column).intersect(b.select(column))
+
+
+def values_only_in(a: DataFrame, b: DataFrame, column: str = "email") -> DataFrame:
+    """Distinct values of a column that the first table has and the second has not."""
+    return a.select(column).subtract(b.select(column))
+
+
 def _bounds(length: Column, t: float) -> tuple[Column, Column]:
     """Partner lengths that can still reach similarity t."""
     low = F.ceil(length * F.lit(t / (2 - t)) - F.lit(1e-9)).cast("int")

@@ -133,6 +133,14 @@ def order_grain(guests: DataFrame) -> DataFrame:
     )
 
 
+def first_buyer(guests: DataFrame) -> DataFrame:
+    """The first BUYER row of each order: order_number, guest_id, contact_id."""
+    buyers = guests.where((F.col("guest_type") == "BUYER") & (F.length("order_number") > 0))
+    return buyers.groupBy("order_number").agg(
+        F.min_by(F.struct("guest_id", "contact_id"), "_ord").alias("b")
+    ).select("order_number", "b.*")
+
+
 def is_inactive(status: Column) -> Column:
     return F.coalesce(status.isin(INACTIVE_STATUSES), F.lit(False))
 
