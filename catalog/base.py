@@ -14,8 +14,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-# Tables written once per session and data folder: (application, folder, name) -> table.
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+# Tables written once per session and state of a data folder.
+_stored: dict[tuple, DataFrame] = {}
+
+
+def folder_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of a folder's tables; a stored table is of use only for these."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/*.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
 
 # Entities whose mapping needs joins or aggregates. Like flat tables of a real run they are
 # written once and then read by every query.
@@ -36,7 +43,8 @@ class Lake:
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A derived table, written on first use."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name,
+               folder_state(self.spark, self.sf_dir))
         if key not in _stored:
             _stored[key] = stage(build(), name)
         return _stored[key]
