@@ -70,6 +70,34 @@ def _(lake):
     return orders.latest_payment_per_order(lake.t_payment).drop("payment_datetime")
 
 
+@query("a1_payments_out_of_order", """
+    WITH RECURSIVE p AS (
+      SELECT CAST(user_id AS VARCHAR) AS k, event_id AS pos, event_type = 'purchase' AS ok,
+        CASE WHEN event_id % 4 > 0 THEN
+          CAST(CAST(ts - to_hours(CAST(event_id % 7 AS INTEGER) * 40) AS DATE) AS VARCHAR) END AS day,
+        row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+    f AS (
+      SELECT k, n, pos, ok, day FROM p WHERE n = 1
+      UNION ALL
+      SELECT k, n, CASE WHEN win THEN new_pos ELSE pos END, CASE WHEN win THEN new_ok ELSE ok END,
+        CASE WHEN win THEN new_day ELSE day END
+      FROM (SELECT f.k, p.n, f.pos, f.ok, f.day, p.pos AS new_pos, p.ok AS new_ok, p.day AS new_day,
+              (p.ok AND NOT f.ok) OR coalesce(p.day > f.day, FALSE) AS win
+            FROM f JOIN p ON p.k = f.k AND p.n = f.n + 1))
+    SELECT k AS order_number, pos AS payment_ord FROM f
+    WHERE n = (SELECT max(n) FROM p WHERE p.k = f.k)""")
+def _(lake):
+    # Events read as payments of their user: undated ones, and dates out of order.
+    payments = lake.sql("""
+        SELECT CAST(user_id AS STRING) AS app_order_id,
+          CASE WHEN event_type = 'purchase' THEN 'APPROVED' ELSE 'PENDING' END AS status,
+          CASE WHEN event_id % 4 > 0 THEN CAST(CAST(
+            ts - make_interval(0, 0, 0, 0, CAST(event_id % 7 AS INT) * 40) AS DATE) AS STRING)
+          END AS payment_datetime, CAST(1 AS BIGINT) AS total_quantity, event_type AS product_name,
+          event_id AS _ord FROM {events}""")
+    return orders.latest_payment_per_order(payments).select("order_number", "payment_ord")
+
+
 @query("a2_event_capacity", """
     SELECT event_id, CAST(sum(initial_limit) AS BIGINT) AS event_total_capacity,
            count(*) AS event_distinct_td_count FROM t_def GROUP BY event_id""", "t_def")

@@ -52,6 +52,24 @@ def test_latest_payment_matches_the_fold(spark):
     assert got == fold(rows)
 
 
+def test_one_order_of_many_payments(spark):
+    """Dates out of order, missing dates and changing status in an order over many tasks."""
+    rng = random.Random(17)
+    payments = []
+    for i in range(100_000):
+        year = 2200 - i // 2000 if i < 90_000 else rng.randrange(2000, 2300)
+        at = rng.choice([None, "", f"{year}-{rng.randrange(10, 13)}-01"])
+        status = "REFUND" if i < 60_000 else rng.choice(["APPROVED", "REFUND"])
+        payments.append(("hot", status, at, 1, "Ticket", i))
+    payments += [(f"o{k}", rng.choice(["APPROVED", "REFUND"]),
+                  rng.choice([None, f"2024-01-{rng.randrange(10, 30)}"]), 1, "Ticket", 200_000 + k * 20 + j)
+                 for k in range(200) for j in range(rng.randrange(1, 15))]
+    df = spark.createDataFrame(payments, PAYMENT).repartition(6)
+    got = {r["order_number"]: r["payment_ord"]
+           for r in orders.latest_payment_per_order(df).collect()}
+    assert got == fold(payments)
+
+
 def test_nth_stub_of_hot_orders(spark):
     rng = random.Random(3)
     rows, want = [], {}

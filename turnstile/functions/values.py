@@ -64,12 +64,14 @@ def _banded(value: Column, bands: list[tuple[float, str]], top: str) -> Column:
 
 def bucket_price(value: Column, free: Column) -> Column:
     """Ticket price band; a free flag wins over the number. Negative prices fall in 0-25."""
+    # The bands.
     banded = _banded(value, [(25, "0-25"), (50, "25-50"), (100, "50-100")], "100+")
     return F.when(free, "Free").otherwise(banded)
 
 
 def bucket_amount(value: Column) -> Column:
     """Payment amount band."""
+    # The bands.
     bands = [(25, "0-25"), (50, "25-50"), (100, "50-100"), (250, "100-250")]
     return _banded(value, bands, "250+")
 

@@ -80,6 +80,7 @@ def educator_feed(events: DataFrame, summaries: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the feed.
 SOCIALS = (
     "title", "day_of_week", "start_date", "start_time", "short_description", "lowest_price",
     "highest_price", "location_name", "event_page_url", "main_image_url", "sold_out",

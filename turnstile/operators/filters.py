@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -93,8 +95,9 @@ def payments_filter(
 
 
 def filter_rows(df: DataFrame, expression: str) -> DataFrame:
-    """Rows matching a SQL expression; an invalid expression leaves the table unchanged."""
+    """Rows matching a SQL expression; an invalid one warns and leaves the table unchanged."""
     try:
         return df.where(F.expr(expression))
-    except (AnalysisException, ParseException):
+    except (AnalysisException, ParseException) as e:
+        warnings.warn(f"not filtered, {expression!r} is invalid: {e}", stacklevel=2)
         return df

@@ -155,7 +155,7 @@ def candidate_pairs(source: DataFrame, target: DataFrame, threshold: float) -> D
     src = src.select(
         "a", "lb", "m", "i", "k", F.substring("a", F.col("pos") + 1, F.col("size")).alias("piece"))
     pairs = src.join(tgt, ["lb", "m", "i", "piece"])
-    return pairs.where(F.expr("levenshtein(a, b, k) >= 0")).select("a", "b")
+    return pairs.where(F.expr("levenshtein(a, b, k) >= 0")).select("a", "b").distinct()
 
 
 def crossover_fuzzy(source: DataFrame, target: DataFrame, threshold: float = 85) -> DataFrame:

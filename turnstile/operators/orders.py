@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnstile.functions.labels import APPLICATION_FEE, INACTIVE_STATUSES
@@ -12,29 +11,53 @@ from turnstile.functions.values import blank_to_null, safe_int
 from turnstile.session import stage
 
 
-def _replay():
-    """Function over payments sorted by (order, position), self-contained for the workers.
+def _top(at: Column, position: Column, ok: Column) -> Column:
+    """Sort key of dated payments: the latest date, of equal ones the first; else null."""
+    return F.when(at.isNotNull(), F.struct(
+        at.alias("at"), (-position).alias("first"), ok.alias("ok")))
 
-    It emits the surviving position per order and holds one payment per task, whatever the
-    number of payments of an order.
-    """
 
-    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = best = None
-        for batch in batches:
-            done = []
-            for order, pos, ok, at in batch[["_key", "_ord", "_ok", "_at"]].itertuples(index=False):
-                if order != key:
-                    if key is not None:
-                        done.append((key, best[0]))
-                    key, best = order, (pos, ok, at)
-                elif (ok and not best[1]) or (at and best[2] and at > best[2]):
-                    best = (pos, ok, at)
-            yield pd.DataFrame(done, columns=["_key", "_ord"])
-        if key is not None:
-            yield pd.DataFrame([(key, best[0])], columns=["_key", "_ord"])
+def _standing_payments(pays: DataFrame) -> DataFrame:
+    """(_key, _ord) of the payment that stands at the end of each order, for any dates.
 
-    return replay
+    Dates carry an order along its running maximum until an approved payment without a later
+    date follows one that is not approved; there it starts again. Each round finds that next
+    place for all orders at once. Payments are range-sorted and written, so an order may span
+    many partitions: maxima of its earlier partitions come from an aggregate, and windows only
+    run within one partition. The rounds are as many as the most restarts of an order.
+    """
+    rows = stage(
+        pays.select("_key", "_ord", "_ok", "_at").repartitionByRange("_key", "_ord")
+        .withColumn("_part", F.spark_partition_id()), "open-payments")
+    one = F.struct("_ord", "_ok", "_at")
+    state = rows.groupBy("_key").agg(F.min_by(one, "_ord").alias("_s"))
+    top = _top(F.col("_at"), F.col("_ord"), F.col("_ok"))
+    own = _top(F.col("_s._at"), F.col("_s._ord"), F.col("_s._ok"))
+    done = []
+    while True:
+        state = stage(state, "open-state")
+        later = rows.join(state, "_key").where(F.col("_ord") > F.col("_s._ord"))
+        parts = stage(later.groupBy("_key", "_part").agg(
+            F.max(top).alias("_part_top"), F.first("_s").alias("_s")), "open-parts")
+        earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(
+            Window.unboundedPreceding, -1)
+        incoming = parts.select("_key", "_part", F.greatest(
+            own, F.max("_part_top").over(earlier)).alias("_incoming"))
+        before = Window.partitionBy("_key", "_part").orderBy("_ord").rowsBetween(
+            Window.unboundedPreceding, -1)
+        prior = F.greatest("_incoming", F.max(top).over(before))
+        restart = F.col("_ok") & F.when(F.col("_s._at").isNull(), ~F.col("_s._ok")).otherwise(
+            ~F.col("_prior.ok") & (F.col("_at").isNull() | (F.col("_at") <= F.col("_prior.at"))))
+        restarts = later.join(incoming, ["_key", "_part"]).withColumn("_prior", prior).where(
+            restart).groupBy("_key").agg(F.min_by(one, "_ord").alias("_next"))
+        bests = parts.groupBy("_key").agg(F.max("_part_top").alias("_best"))
+        after = stage(state.join(restarts, "_key", "left").join(bests, "_key", "left"), "open-after")
+        last = F.when(F.col("_s._at").isNull(), F.col("_s._ord")).otherwise(
+            -F.greatest(own, F.col("_best"))["first"])
+        done.append(after.where("_next IS NULL").select("_key", last.alias("_ord")))
+        state = after.where("_next IS NOT NULL").select("_key", F.col("_next").alias("_s"))
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id") -> DataFrame:
@@ -49,7 +72,7 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
     * so does the first payment of the latest date if no approved one follows it;
     * without any dates the first approved payment stays, else the first.
 
-    Only the rest, if any, is replayed row by row with one payment of state per task.
+    Only the rest, if any, is followed from restart to restart.
     """
     pays = payments.where(F.length(F.col(order_col)) > 0).select(
         F.col(order_col).alias("_key"),
@@ -83,13 +106,7 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
     open_orders = stats.where(~(settled | undated)).select("_key")
     if not open_orders.isEmpty():
         rest = pays.join(open_orders, "_key", "left_semi")
-        replayed = (
-            rest.select("_key", "_ord", "_ok", "_at")
-            .repartition("_key")
-            .sortWithinPartitions("_key", "_ord")
-            .mapInPandas(_replay(), "_key string, _ord bigint")
-        )
-        chosen = rest.join(replayed, ["_key", "_ord"], "left_semi").select("_key", "_pay")
+        chosen = rest.join(_standing_payments(rest), ["_key", "_ord"], "left_semi").select("_key", "_pay")
         decided = decided.unionByName(chosen)
     return decided.select(
         F.col("_key").alias("order_number"),
