@@ -285,7 +285,7 @@ def training_rows(docs: DataFrame, held_out: int = 2, folds: int = 4,
 
 
 def keep_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                        lang: str = "lang", least_share: float = 0.4) -> DataFrame:
+                        lang: str = "lang", least_share: float = 0.3) -> DataFrame:
     """The rows of ``docs`` in a learned language, with all their columns.
 
     A row goes if it is undetermined or no language has ``least_share`` of its letters.

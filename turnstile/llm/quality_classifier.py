@@ -5,7 +5,7 @@ hash of the id, so the sample does not depend on how Spark splits the work. Feat
 scores cover every row. Label, language, source and id are no features.
 
 Null text counts as empty; empty texts get the score that the model gives to texts without
-words. Rows without a label only get a score; a label given twice trains twice; a null id or
+words. Rows without a label only get a score; a label given twice trains once; a null id or
 label trains nothing. Without any labels the score is 0.5. An empty table gives an empty
 result. The operator keeps only the named columns; the filter keeps all of them.
 """
@@ -79,7 +79,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out: int, folds: int,
                  part.column("y")], names=["x", "y"])
 
     table = sample.select("text", "y").mapInArrow(run, "x array<double>, y double").orderBy(
-        F.xxhash64("x"), "y").toArrow()
+        F.xxhash64("x"), "y").limit(2 * train_rows).toArrow()  # ids may repeat
     x = np.array(table.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array(table.column("y").to_pylist(), np.float64))
 

@@ -160,7 +160,8 @@ def fit_evidence(sample: DataFrame, channel: Channel, halves: list[dict[str, flo
                 [pa.array(rows, pa.list_(pa.float64())), part.column("y")], names=["x", "y"])
 
     table = sample.select("text", "y", "half").mapInArrow(
-        run, "x array<double>, y double").orderBy(F.xxhash64("x"), "y").toArrow()
+        run, "x array<double>, y double").orderBy(
+        F.xxhash64("x"), "y").limit(2 * TRAIN_ROWS).toArrow()  # ids may repeat
     return fit(np.array(table.column("x").to_pylist(), np.float64).reshape(-1, FEATURES),
                np.array(table.column("y").to_pylist(), np.float64))
 
