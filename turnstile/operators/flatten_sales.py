@@ -218,10 +218,13 @@ def _sum(items: Column, value) -> Column:
     )
 
 
-def refund_rollup(refunds: Column) -> dict[str, Column]:
+def succeeded_refunds(refunds: Column) -> Column:
+    return F.filter(F.coalesce(refunds, F.array()), lambda r: F.upper(r["status"]) == "SUCCEEDED")
+
+
+def refund_rollup(refunds: Column, done: Column) -> dict[str, Column]:
     """Count, succeeded count, succeeded sum (0 as null) and the latest refund of an array."""
     items = F.coalesce(refunds, F.array())
-    done = F.filter(items, lambda r: F.upper(r["status"]) == "SUCCEEDED")
     # The latest by creation text; on a tie the earlier list position.
     ranked = F.transform(items, lambda r, i: F.struct(
         F.coalesce(r["createdAt"], F.lit("")).alias("at"), (-i).alias("back"), r.alias("r")))
@@ -233,11 +236,15 @@ def refund_rollup(refunds: Column) -> dict[str, Column]:
     }
 
 
-def item_rollup(items: Column) -> dict[str, Column]:
-    """Names, count, quantity, fee-line sum and first product of a payment's item list."""
+def goods_and_fees(items: Column) -> tuple[Column, Column]:
+    """A payment's item list without its fee lines, and the fee lines."""
     lines = F.coalesce(items, F.array())
-    goods = F.filter(lines, lambda i: i["id"].isNull() | (i["id"] != FEE_ITEM_ID))
-    fees = F.filter(lines, lambda i: i["id"] == FEE_ITEM_ID)
+    return (F.filter(lines, lambda i: i["id"].isNull() | (i["id"] != FEE_ITEM_ID)),
+            F.filter(lines, lambda i: i["id"] == FEE_ITEM_ID))
+
+
+def item_rollup(goods: Column, fees: Column) -> dict[str, Column]:
+    """Names, count, quantity, fee-line sum and first product of a payment's item list."""
     quantity = F.aggregate(
         goods, F.lit(0).cast("bigint"),
         lambda acc, i: acc + F.coalesce(i["quantity"], F.lit(0).cast("bigint")),
@@ -255,8 +262,13 @@ def flatten_payments(raw: DataFrame) -> DataFrame:
     """One row per payment with refunds rolled up, fees split out and labels resolved."""
     desc = F.col("order.description")
     bill, ship = desc["billingAddress"], desc["shippingAddress"]
-    refunds, items = refund_rollup(F.col("refunds")), item_rollup(desc["items"])
-    base = raw.withColumns({
+    # Lists are filtered once, in a projection of their own.
+    goods, fees = goods_and_fees(desc["items"])
+    split = raw.withColumns({
+        "_goods": goods, "_fees": fees, "_done": succeeded_refunds(F.col("refunds"))})
+    refunds = refund_rollup(F.col("refunds"), F.col("_done"))
+    items = item_rollup(F.col("_goods"), F.col("_fees"))
+    base = split.withColumns({
         "_refunded": refunds["total"],
         "_latest": refunds["latest"],
         "_amount": safe_float(F.col("amount.amount")),

@@ -18,18 +18,23 @@ def normalize_people(df: DataFrame) -> DataFrame:
 
 
 def attendees_by_email(people: DataFrame, order_column: str) -> DataFrame:
-    """One row per e-mail: first non-null names, distinct events and orders."""
+    """One row per e-mail: first non-null names, distinct events and orders.
 
-    def first_seen(c: str) -> Column:
-        return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_ord")))
-
-    return people.where("email IS NOT NULL").groupBy("email").agg(
-        first_seen("full_name").alias("full_name"),
-        first_seen("buyer_first_name").alias("first_name"),
-        first_seen("buyer_last_name").alias("last_name"),
-        F.count_distinct("event_name").alias("events_attended"),
-        F.count_distinct(order_column).alias("orders"),
-    )
+    Rows are combined per (e-mail, event) and (e-mail, order) first, so an e-mail with many rows
+    is never expanded.
+    """
+    named = people.where("email IS NOT NULL")
+    names = {"full_name": "full_name", "buyer_first_name": "first_name",
+             "buyer_last_name": "last_name"}
+    per_event = named.groupBy("email", "event_name").agg(*[
+        F.min(F.when(F.col(c).isNotNull(), F.struct("_ord", F.col(c).alias("v")))).alias(c)
+        for c in names])
+    attended = per_event.groupBy("email").agg(
+        *[F.min(c)["v"].alias(alias) for c, alias in names.items()],
+        F.count("event_name").alias("events_attended"))
+    bought = named.select("email", order_column).distinct().groupBy("email").agg(
+        F.count(order_column).alias("orders"))
+    return attended.join(bought, "email")
 
 
 def platform_profile(people: DataFrame, order_column: str) -> DataFrame:
