@@ -15,7 +15,6 @@ named columns are read.
 from __future__ import annotations
 
 import functools
-import os
 import zlib
 from array import array
 from collections import defaultdict
@@ -35,19 +34,18 @@ END_TOKEN = 2
 
 
 class LibraryEncoder(WordEncoder):
-    """Encodes new words by the tokenizers library, one call for the new words of a slice."""
+    """Encodes new words by the merges of the tokenizers library; they are split already."""
 
     def _learn(self, new: set[str]) -> None:
-        words = list(new)
-        for word, found in zip(words, self.vocabulary.library.encode_batch(
-                words, add_special_tokens=False), strict=True):
-            self.known[word] = array("I", found.ids).tobytes()
+        merge, alphabet = self.vocabulary.library.model.tokenize, self.vocabulary.to_alphabet
+        for word in new:
+            symbols = word.encode().decode("latin-1").translate(alphabet)
+            self.known[word] = array("I", [t.id for t in merge(symbols)]).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder per worker process and file; its worker has one core, so one thread."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    """One encoder per worker process and file."""
     return LibraryEncoder(Vocabulary(path))
 
 
