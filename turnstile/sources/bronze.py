@@ -86,23 +86,22 @@ def bronze_read(
 
 
 def snapshot_list(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:
-    """Snapshots of every entity, newest first, from file names alone."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}").load(root).select("path", "modificationTime")
-    )
-    relative = F.regexp_extract("path", r"/([^/]+)/year=\d{4}/", 1)
-    return (
-        files.select(
-            relative.alias("entity"),
-            F.regexp_extract("path", SNAPSHOT_ID, 1).alias("snapshot_id"),
-            "modificationTime",
-        )
-        .where("snapshot_id <> ''")
-        .groupBy("entity", "snapshot_id")
-        .agg(F.max("modificationTime").alias("modified"))
-        .orderBy(F.col("snapshot_id").desc(), "entity")
-    )
+    """Snapshots of every entity, newest first, from the names in the day folders alone.
+
+    One row per snapshot, however many files it has; ``suffix`` applies to snapshots that are
+    single files.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/year=*/month=*/day=*/snapshot*")
+    rows = []
+    for found in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []:
+        name = found.getPath().toString()
+        entity, snapshot = re.search(r"/([^/]+)/year=\d{4}/", name), re.search(SNAPSHOT_ID, name)
+        if entity and snapshot and (found.isDirectory() or name.endswith(suffix)):
+            rows.append((entity[1], snapshot[1], found.getModificationTime() / 1000))
+    listed = spark.createDataFrame(rows, "entity string, snapshot_id string, modified double")
+    return listed.groupBy("entity", "snapshot_id").agg(
+        F.max(F.timestamp_seconds("modified")).alias("modified")
+    ).orderBy(F.col("snapshot_id").desc(), "entity")
 
 
 def resolve_snapshots(snapshots: DataFrame, which: str = "latest") -> list[str]:
