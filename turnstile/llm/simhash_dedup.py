@@ -36,6 +36,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 WIDE = 64
+SLICE_BYTES = 1 << 18  # 64 counters per shingle are in memory for one slice
 
 
 def shingle_hashes(raw: bytes, size: int = SHINGLE_WORDS) -> list[int]:
@@ -61,7 +62,7 @@ def fingerprints(raws: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:
         flat = np.fromiter((x for h in hashes for x in h), "<u8", int(counts.sum()))
         bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = np.concatenate(([0], np.cumsum(counts[some])[:-1]))
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.uint32)
         majority = (2 * ones > counts[some][:, None]).astype(np.uint8)
         out[some] = np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
     return out
@@ -72,7 +73,7 @@ def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(fingerprints(raw_texts(part)).view(np.int64))],
                 names=["doc_id", "fp"])
