@@ -36,7 +36,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 WIDE = 64
-SLICE_BYTES = 1 << 18  # 64 counters per shingle are in memory for one slice
+SLICE_BYTES = 1 << 18
+BLOCK_HASHES = 1 << 16
 
 
 def shingle_hashes(raw: bytes, size: int = SHINGLE_WORDS) -> list[int]:
@@ -53,19 +54,23 @@ def shingle_hashes(raw: bytes, size: int = SHINGLE_WORDS) -> list[int]:
 
 
 def fingerprints(raws: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:
-    """One unsigned 64-bit fingerprint per text: the majority of each bit of its hashes."""
+    """One unsigned 64-bit fingerprint per text: the majority of each bit of its hashes.
+
+    The bits of at most ``BLOCK_HASHES`` hashes are laid out at once, so a text of any length
+    fits.
+    """
     hashes = [shingle_hashes(raw, size) for raw in raws]
     counts = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros(len(raws), np.uint64)
-    some = np.flatnonzero(counts)
-    if some.size:
-        flat = np.fromiter((x for h in hashes for x in h), "<u8", int(counts.sum()))
-        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = np.concatenate(([0], np.cumsum(counts[some])[:-1]))
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.uint32)
-        majority = (2 * ones > counts[some][:, None]).astype(np.uint8)
-        out[some] = np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    owners = np.repeat(np.arange(len(raws)), counts)
+    flat = np.fromiter((x for h in hashes for x in h), "<u8", int(counts.sum()))
+    ones = np.zeros((len(raws), 64), np.int64)
+    for at in range(0, len(flat), BLOCK_HASHES):
+        block, owner = flat[at:at + BLOCK_HASHES], owners[at:at + BLOCK_HASHES]
+        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(owner)) + 1))
+        ones[owner[starts]] += np.add.reduceat(bits, starts, axis=0, dtype=np.uint32)
+    majority = (2 * ones > counts[:, None]).astype(np.uint8)
+    return np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
