@@ -149,8 +149,3 @@ class Channel:
                 at += 1
             lines.append(" ".join(out))
         return "\n".join(lines)
-
-
-def contexts(words: list[str]) -> list[tuple[str, str]]:
-    """(word, word before it) for each word."""
-    return list(pairwise(["", *words]))
