@@ -196,6 +196,38 @@ def test_channel_restores_disguised_words():
     assert channel.restore_text("") == ""
 
 
+@pytest.mark.parametrize("seen, wanted", [
+    ("iidiioott", "idiot"), ("mmoorroonn", "moron"),  # repetition by doubling
+    ("you are an i d i o t.", "you are an idiot"), ("m o r o n, you", "moron you"),
+    ('an "i d i o t"', "an idiot"), ("i, d, i, o, t!", "idiot"),
+    ("id-iot", "idiot"), ("mo.ron", "moron"), ("cl*o_wn", "clown")])
+def test_channel_restores_doubled_spaced_and_split_words(seen, wanted):
+    channel = Channel(trigram_counts([" ".join(WORDS)] * 200))
+    assert channel.restore_text(seen) == wanted
+
+
+@pytest.mark.parametrize("seen", [
+    "iidiioott", "ttrraasshh", "mmorron", "you i d i o t.", "you, m o r o n, walked",
+    "a c l o w n.", "such an i d i o t. I a", "id-iot", "mo.ron", "t'ra.sh", "m0-r0n"])
+def test_marks_are_found_where_prose_is_unlike_them(seen):
+    rng = random.Random(7)
+    prose = " ".join("".join(rng.choices(["thh", "aa", "nn", "ee", "ss", "ou", "ré"], k=3))
+                     for _ in range(20_000))
+    channel = Channel(trigram_counts([prose, " ".join(WORDS), "trash"]))
+    marks = {"idiot": 3.0, "moron": 3.0, "clown": 3.0, "trash": 3.0}
+    assert toxicity.Evidence(channel, marks).features(seen)[0] == 1
+    plain = "well-known committee don't a b. c"
+    assert toxicity.Evidence(channel, marks).features(plain)[0] == 0
+
+
+def test_second_forms_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 2)
+    channel = Channel(trigram_counts([" ".join(WORDS)] * 200))
+    evidence = toxicity.Evidence(channel, {"moron": 3.0})
+    for _ in range(2):
+        assert evidence.features("mo-ron walked to the town")[0] == 1
+
+
 def test_toxicity_on_disguised_held_out_texts(spark):
     rng = random.Random(6)
     plain = [f"w{make_text(rng, 'aa', 1)}" for _ in range(400)]

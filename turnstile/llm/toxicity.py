@@ -1,7 +1,8 @@
 """Toxicity of texts after noisy-channel deobfuscation.
 
-A letter trigram model is counted over all training texts. Suspicious words (digits or signs
-among letters, letters repeated or spelled out) are decoded under it (see ``noisy_channel``).
+A letter trigram model is counted over all training texts. Suspicious words (digits, signs or
+separators among letters, letters repeated or spelled out) are decoded under it (see
+``noisy_channel``); what is left of separators and repeats is also read without them.
 Then the restored words are scored: words and word beginnings that mark toxic texts are learned
 from at most about ``TRAIN_ROWS`` labelled texts. Evidence is counted in different contexts
 (the word before), so copies of one text count once. What each half of these texts has of the
@@ -26,7 +27,14 @@ from pyspark.sql import functions as F
 from turnstile.llm.batches import fold_of, slices, texts
 from turnstile.llm.gam import Gam, fit
 from turnstile.llm.labelled import labelled_sample
-from turnstile.llm.noisy_channel import SIZE, Channel, trigram_counts
+from turnstile.llm.noisy_channel import (
+    EDGES,
+    SIZE,
+    Channel,
+    is_suspicious,
+    squeezed,
+    trigram_counts,
+)
 from turnstile.session import stage
 
 TRAIN_ROWS = 16_000
@@ -63,21 +71,32 @@ def units_of(word: str) -> list[str]:
 
 
 class Restorer(dict):
-    """Words to their restored form, remembered up to ``CACHE_WORDS``."""
+    """Words to their restored form, remembered up to ``CACHE_WORDS`` and a text; ``second`` has
+    the form without separators and repeats of those where it is another."""
 
     def __init__(self, channel: Channel):
         super().__init__()
         self.channel = channel
+        self.second: dict[str, str] = {}
 
     def __missing__(self, word: str) -> str:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
+        if not is_suspicious(word):
+            self[word] = core = word.strip(EDGES)
+            return core
         self[word] = restored = self.channel.restore_word(word)
+        other = squeezed(word, restored)
+        if other != restored:
+            self.second[word] = other
         return restored
 
     def words(self, text: str) -> list[str]:
         seen = text.lower().split()
-        return [*map(self.__getitem__, seen), *self.channel.spelled_out(seen)]
+        if len(self) >= CACHE_WORDS:  # not within a text, whose second forms are looked up below
+            self.clear()
+            self.second.clear()
+        restored = list(map(self.__getitem__, seen))
+        second = [self.second[word] for word in seen if word in self.second]
+        return [*restored, *second, *self.channel.spelled_out(seen)]
 
 
 def learn_marks(sample: DataFrame, channel: Channel) -> list[dict[str, float]]:
