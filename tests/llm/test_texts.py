@@ -107,6 +107,23 @@ def test_language_of_mixed_text_and_spans(spark):
     assert found[1][1] == 0.0 and 0 < found[0][1] < 1
 
 
+def test_texts_outside_learned_scripts_go(spark):
+    rng = random.Random(5)
+    learned = [(i, make_text(rng, lang, 60), lang) for i, lang in enumerate(["aa", "bb"] * 20)]
+    latin = make_text(rng, "aa", 30)
+    others = [(100, "Привет мир, как дела сегодня"), (101, "สวัสดีชาวโลก"), (102, "日本語の文章です"),
+              (103, f"{latin} Привет мир"), (104, f"ab мир {'—' * 50}"), (105, f"abcd {'—🙂' * 50}"),
+              (106, "Привет мир ok"), (107, latin)]
+    docs = spark.createDataFrame(learned + [(i, text, None) for i, text in others],
+                                 "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.keep_known_language(docs).collect()}
+    assert kept == {*range(40), 103, 105, 107}
+    cyrillic = docs.union(spark.createDataFrame(
+        [(i, others[0][1] + f" {i}", "ru") for i in range(200, 220)], docs.schema))
+    kept = {r["doc_id"] for r in language_id.keep_known_language(cyrillic).collect()}
+    assert {100, 104, 106} <= kept and not kept & {101, 102}
+
+
 def test_span_search_equals_brute_force():
     rng = np.random.default_rng(4)
     model = language_id.LanguageModel(["a", "b", "c"], np.zeros((1, 3), np.float32), np.zeros(3))

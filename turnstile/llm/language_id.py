@@ -284,18 +284,42 @@ def training_rows(docs: DataFrame, held_out: int = 2, folds: int = 4,
     return docs.where(fold_of(F.col(doc_id), folds) != held_out)
 
 
+def in_known_scripts(model: LanguageModel, raw: bytes) -> bool:
+    """Whether half the letters of a text or more are of scripts of the learned languages."""
+    known = np.bitwise_or.reduce(model.scripts, initial=np.uint32(0))
+    if raw.isascii() and known & 1:  # the first script is Latin
+        return True
+    units = np.frombuffer(raw + b" ", np.uint8)
+    bits = script_table()[(units[:-1].astype(np.uint16) << 8) | units[1:]]
+    inside = np.count_nonzero(bits & known)
+    strange = np.flatnonzero((bits != 0) & ((bits & known) == 0))
+    if len(strange) <= inside:
+        return True
+    # Signs beyond Latin-1 (dashes, pictures) have a script bit too: count letters alone.
+    counted = np.zeros(len(raw), bool)
+    counted[strange] = True
+    starts = np.flatnonzero((units[:-1] & 0xC0) != 0x80)
+    return sum(c.isalpha() for c, far in zip(raw.decode(), counted[starts], strict=True)
+               if far) <= inside
+
+
 def keep_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         lang: str = "lang", least_share: float = 0.3) -> DataFrame:
     """The rows of ``docs`` in a learned language, with all their columns.
 
-    A row goes if it is undetermined or no language has ``least_share`` of its letters.
+    A row goes if it is undetermined, if no language has ``least_share`` of its letters, or if
+    most of its letters are outside the scripts of all learned languages. A language that was not
+    learned but is written in a learned script is not recognised: its rows pass as one or several
+    of the learned languages.
     """
     model = train_languages(training_rows(docs, doc_id=doc_id), text, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text, SLICE_BYTES):
-            found = label_texts(model, raw_texts(part, text))
+            raws = raw_texts(part, text)
+            found = label_texts(model, raws)
             yield part.filter(pa.array(
-                [row[0] != UNDETERMINED and row[1] >= least_share for row in found]))
+                [row[0] != UNDETERMINED and row[1] >= least_share and in_known_scripts(model, raw)
+                 for row, raw in zip(found, raws, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
