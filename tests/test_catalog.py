@@ -34,3 +34,17 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert entry(spark).count() > 0
+
+
+def test_latest_export_keeps_its_parts(spark, tmp_path):
+    names = {"supplier": "s_suppkey long, s_name string", "customer": "c_custkey long, c_name string"}
+    for name, columns in names.items():
+        rows = spark.createDataFrame([(i, f"{name} {i}") for i in range(40)], columns)
+        rows.repartition(4).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = queries()["s6_latest_file"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found.inputFiles()) > 1
+    assert sorted(map(tuple, found.collect())) == [(i, f"customer {i}") for i in range(40)]
