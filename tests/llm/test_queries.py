@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, duck, name):
 def test_every_operator_has_one_query():
     assert "pipeline" in queries.QUERIES
     numbers = [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")]
-    assert sorted(numbers) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(numbers) == sorted(f"op{k}" for k in range(1, 14))
 
 
 def test_pipeline_stages(spark):

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from turnstile.llm import (
     bpe,
     chat_format,
+    chosen_path,
+    cross_tokenizer,
     exact_dedup,
+    hard_negatives,
     language_id,
     lm_scoring,
     packing,
@@ -25,6 +28,7 @@ from turnstile.llm.batches import fold_of
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,3 +178,49 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = corpus_pipeline.run
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.hard_negatives(
+        hard_negatives.whole_vectors(rows), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.vector, b.vector)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.*, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id
+                            ORDER BY score DESC, other_id)::INTEGER AS rank
+  FROM positives p JOIN scores s USING (anchor_id)
+  WHERE NOT s.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+
+@_query
+def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chosen_path.similar_sets(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@_query
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer.link_statistics(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY),
+        public_tokenizers.path(PIECE_MODEL))
