@@ -47,7 +47,7 @@ PERCENT = 85
 RECALL = 0.9999
 USUAL_DEPTH = 3
 COORDINATES = 128
-LEAF_SETS = 128
+LEAF_SETS = 512
 DEEPEST = 48
 MOST_UNLIKE_BITS = 30
 SLICE_BYTES = 1 << 20
