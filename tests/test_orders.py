@@ -1,6 +1,7 @@
 """Order rules against plain-Python brute force."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -70,6 +71,49 @@ def test_one_order_of_many_payments(spark):
     assert got == fold(payments)
 
 
+def test_alternating_payments_of_one_order(spark):
+    """An order that changes its mind with every row: the rounds do not grow with it."""
+    payments = [("hot", "APPROVED" if i % 2 else "PENDING", f"{9000 - i // 4}-{1 + i % 2}", 1, "x", i)
+                for i in range(20_000)]
+    df = spark.createDataFrame(payments, PAYMENT).repartition(8)
+    start = time.perf_counter()
+    got = {r[0]: r[1] for r in orders.latest_payment_per_order(df).select(
+        "order_number", "payment_ord").collect()}
+    assert got == fold(payments)
+    assert time.perf_counter() - start < 60
+
+
+def test_slices_compose_to_the_fold():
+    """Any payments cut anywhere: maps of slices lead where the row-by-row rule leads."""
+    rng = random.Random(23)
+    for _ in range(4000):
+        dates = [None, *[str(d) for d in range(rng.randint(1, 6))]]
+        rows = [(rng.random() < 0.4, rng.choice(dates), i) for i in range(rng.randint(1, 14))]
+        want = None
+        for row in rows:
+            want = orders._next(want, row)
+        state, at = None, 0
+        while at < len(rows):
+            end = rng.randint(at + 1, len(rows))
+            piece, settling = orders._Slice("k", 0), []
+            for row in rows[at:end]:
+                if piece.add(row):
+                    settling.append((piece.highest, row))
+            at = end
+            if state is None:
+                state = piece.start
+                continue
+            ok, date, _ = state
+            bar = piece.highest if ok else piece.before_ok
+            if date is not None and bar is not None and date < bar:
+                over = [row for top, row in settling if top > date]
+                assert bool(over) == (piece.settling is not None and date < piece.settling)
+                state = over[0] if over else piece.from_highest
+            elif not ok and piece.has_ok:
+                state = piece.from_ok
+        assert state == want
+
+
 def test_nth_stub_of_hot_orders(spark):
     rng = random.Random(3)
     rows, want = [], {}
@@ -178,3 +222,37 @@ def test_definition_match_numbers(spark):
     assert both["td_initial_limit"] == 5
     assert rows["the solo show"]["td_fixed_price_value"] == 7.5
     assert "nothing" not in rows
+
+
+def test_anchor_join_finds_what_contains_finds(spark):
+    """Random names and texts of few letters, short names, a hot event, absent pieces."""
+    rng = random.Random(31)
+    word = lambda low, high: "".join(rng.choice("abé ") for _ in range(rng.randint(low, high)))
+    event = lambda: rng.choice(["hot", "hot", "hot", "e1", "e2"])
+    names = [(event(), word(1, 7), float(i), "FIXED", i, i, i, i) for i in range(120)]
+    names += [("hot", None, 1.0, "FIXED", 1, 1, 1, 500), (None, "a", 1.0, "FIXED", 1, 1, 1, 501)]
+    texts = [(event(), word(0, 25).upper() if i % 3 else word(0, 25)) for i in range(400)]
+    texts += [("hot", None), (None, "abab"), ("", "abab")]
+    defs = spark.createDataFrame(
+        names, "event_id string, name string, fixed_price_value double, pricing_type string, "
+               "initial_limit bigint, actual_limit bigint, limit_per_checkout bigint, _ord bigint")
+    baskets = spark.createDataFrame(texts, "event_id string, product_name string")
+    found = {(r["_td_event"], r["_td_product"]): (r["td_name"], r["td_match_confidence"])
+             for r in dims.match_ticket_definitions(baskets, defs).collect()}
+    want = {}
+    for e, text in set(texts):
+        hits = [n for d, n, *_ in names if e and text and d == e and (n or "").strip(" ")
+                and n.strip(" ").lower() in text.lower()]
+        if hits:
+            want[e, text] = (", ".join(hits), "exact" if len(hits) == 1 else "ambiguous")
+    assert found == want
+
+
+def test_anchors_leave_few_candidates(spark):
+    """An event with most of the texts: names share common words, yet meet few texts."""
+    texts = spark.range(3000).selectExpr(
+        "'hot' AS event_id", "concat('1 x evening ticket row ', id % 300, ' seat ', id) AS text")
+    needles = spark.range(300).selectExpr(
+        "'hot' AS event_id", "concat('evening ticket row ', id, ' seat') AS needle")
+    candidates = dims.anchor_candidates(texts, needles).count()
+    assert 3000 <= candidates <= 20 * 3000 < 3000 * 300

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnstile.functions.values import blank_to_null, safe_float, safe_int
+from turnstile.session import stage
 
 
 def last_wins(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
@@ -141,60 +142,76 @@ def ticket_lookup(guests: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
+ANCHOR_LETTERS = 4
+
+
+def _substrings(text: Column, size: Column) -> Column:
+    """The distinct substrings of a length; none where the text is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.when(F.length(text) >= size, F.array_distinct(
+        F.transform(starts, lambda i: text.substr(i, size))))
+
+
+def anchor_candidates(texts: DataFrame, needles: DataFrame,
+                      letters: int = ANCHOR_LETTERS) -> DataFrame:
+    """(event_id, text, needle): pairs of an event that share the needle's anchor.
+
+    The anchor of a needle is whichever of its ``letters``-letter pieces the fewest texts of the
+    event hold; a needle with a piece that no text holds is in none of them. Shorter needles are
+    their own anchor. Pieces and not events are the join key, so a hot event spreads over the
+    cluster, and a text only meets needles whose rarest piece it has.
+    """
+    size = F.lit(letters)
+    held = stage(texts.select("event_id", "text", F.explode(
+        _substrings(F.col("text"), size)).alias("piece")), "text-pieces")
+    counts = held.groupBy("event_id", "piece").agg(F.count("*").alias("n"))
+    long = needles.where(F.length("needle") >= letters).select("event_id", "needle", F.explode(
+        _substrings(F.col("needle"), size)).alias("piece"))
+    anchors = long.join(counts, ["event_id", "piece"], "left").groupBy("event_id", "needle").agg(
+        F.count_if(F.col("n").isNull()).alias("absent"),
+        F.min(F.struct("n", "piece")).alias("rarest")).where("absent = 0").select(
+        "event_id", "needle", F.col("rarest.piece").alias("piece"))
+    short = needles.where(F.length("needle") < letters).select(
+        "event_id", F.col("needle").alias("piece"), F.length("needle").alias("size"))
+    sizes = short.select("event_id", "size").distinct()
+    brief = texts.join(sizes, "event_id").select("event_id", "text", F.explode(
+        _substrings(F.col("text"), F.col("size"))).alias("piece"))
+    return held.join(anchors, ["event_id", "piece"]).select("event_id", "text", "needle").unionByName(
+        brief.join(short, ["event_id", "piece"]).select(
+            "event_id", "text", F.col("piece").alias("needle")))
+
+
 def match_ticket_definitions(baskets: DataFrame, definitions: DataFrame) -> DataFrame:
     """Ticket definitions named inside a payment's product text, per (event, product text).
 
-    ``baskets`` holds event_id and product_name. The theta join runs over distinct texts, of
-    which an event has few however many orders it has. Numbers are typed when one
-    definition (or one value) is found; several values come as joined ``*_text`` only.
+    ``baskets`` holds event_id and product_name. Distinct texts meet distinct names by
+    ``anchor_candidates``. Numbers are typed when one definition (or one value) is found;
+    several values come as joined ``*_text`` only, in input order.
     """
-    texts = (
-        baskets.select("event_id", "product_name")
-        .where((F.length("event_id") > 0) & (F.length("product_name") > 0))
-        .distinct()
-    )
+    products = baskets.select("event_id", "product_name", F.lower("product_name").alias("text")).where(
+        (F.length("event_id") > 0) & (F.length("product_name") > 0)).distinct()
     name = F.lower(F.trim(F.col("name")))
     offered = definitions.where((F.length("event_id") > 0) & (F.length(name) > 0)).select(
-        F.col("event_id").alias("_def_event"),
-        name.alias("_needle"),
-        F.struct(
-            F.col("_ord"),
-            blank_to_null(F.col("name")).alias("name"),
-            safe_float(F.col("fixed_price_value")).alias("fixed_price_value"),
-            blank_to_null(F.col("pricing_type")).alias("pricing_type"),
-            safe_int(F.col("initial_limit")).alias("initial_limit"),
-            safe_int(F.col("actual_limit")).alias("actual_limit"),
-            safe_int(F.col("limit_per_checkout")).alias("limit_per_checkout"),
-        ).alias("_def"),
-    )
-    hits = texts.join(
-        offered,
-        (F.col("event_id") == F.col("_def_event"))
-        & F.lower("product_name").contains(F.col("_needle")),
-    )
-    found = hits.groupBy("event_id", "product_name").agg(
-        F.array_sort(F.collect_list("_def")).alias("_defs")
-    )
-    defs = F.col("_defs")
-
-    def values(field: str) -> Column:
-        return F.filter(F.transform(defs, lambda d: d[field]), lambda v: v.isNotNull())
+        "event_id", name.alias("needle"), "_ord",
+        blank_to_null(F.col("name")).alias("name"),
+        safe_float(F.col("fixed_price_value")).alias("fixed_price_value"),
+        blank_to_null(F.col("pricing_type")).alias("pricing_type"),
+        safe_int(F.col("initial_limit")).alias("initial_limit"),
+        safe_int(F.col("actual_limit")).alias("actual_limit"),
+        safe_int(F.col("limit_per_checkout")).alias("limit_per_checkout"))
+    hits = anchor_candidates(
+        products.select("event_id", "text").distinct(),
+        offered.select("event_id", "needle").distinct()).where(F.col("text").contains(F.col("needle")))
+    named = products.join(hits, ["event_id", "text"]).join(offered, ["event_id", "needle"])
 
     def joined(field: str) -> Column:
-        return F.when(
-            F.size(values(field)) > 0,
-            F.array_join(F.transform(values(field), lambda v: v.cast("string")), ", "),
-        )
+        return F.expr(f"listagg(CAST({field} AS STRING), ', ') WITHIN GROUP (ORDER BY _ord)")
 
     columns = {"td_name": joined("name"), "td_pricing_type": joined("pricing_type")}
     for field in ("fixed_price_value", "initial_limit", "actual_limit", "limit_per_checkout"):
-        single = F.size(values(field)) == 1
-        columns[f"td_{field}"] = F.when(single, F.get(values(field), F.lit(0)))
+        columns[f"td_{field}"] = F.when(F.count(field) == 1, F.max(field))
         columns[f"td_{field}_text"] = joined(field)
-    confidence = F.when(F.size(defs) == 1, "exact").otherwise("ambiguous")
-    return found.select(
-        F.col("event_id").alias("_td_event"),
-        F.col("product_name").alias("_td_product"),
-        *[e.alias(n) for n, e in columns.items()],
-        confidence.alias("td_match_confidence"),
-    )
+    confidence = F.when(F.count("*") == 1, "exact").otherwise("ambiguous")
+    return named.groupBy(
+        F.col("event_id").alias("_td_event"), F.col("product_name").alias("_td_product")).agg(
+        *[e.alias(n) for n, e in columns.items()], confidence.alias("td_match_confidence"))

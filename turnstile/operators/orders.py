@@ -2,62 +2,138 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from turnstile.functions.labels import APPLICATION_FEE, INACTIVE_STATUSES
 from turnstile.functions.values import blank_to_null, safe_int
 from turnstile.session import stage
 
 
-def _top(at: Column, position: Column, ok: Column) -> Column:
-    """Sort key of dated payments: the latest date, of equal ones the first; else null."""
-    return F.when(at.isNotNull(), F.struct(
-        at.alias("at"), (-position).alias("first"), ok.alias("ok")))
+_STATE = "struct<ok:boolean,at:string,ord:bigint>"
+_SLICE = (f"struct<highest:string,settling:string,before_ok:string,has_ok:boolean,"
+          f"start:{_STATE},from_ok:{_STATE},from_highest:{_STATE}>")
+_SLICES = f"_key string, _part int, slice {_SLICE}, top string, ord bigint"
+# The payment that stands, or the slice that settles the order and the date it was entered with.
+_STANDING = "struct<ok:boolean,at:string,ord:bigint,part:int,entered:string>"
+
+
+def _next(state: tuple | None, row: tuple) -> tuple:
+    """The payment (approved, date, position) that stands after ``row``."""
+    replaces = state is None or (row[0] and not state[0]) or (
+        row[1] is not None and state[1] is not None and row[1] > state[1])
+    return row if replaces else state
+
+
+class _Slice:
+    """The payments of one order in one partition, read in order, as a map between states.
+
+    A dated state that a slice replaces by a later date goes through each further new highest
+    date of the slice, unless an approved payment without a date takes its place before: that
+    one settles the order for good. So whatever comes in, at most four states come out: the
+    incoming one, ``start`` (nothing came in), ``from_ok`` (replaced by the first approved
+    payment) or ``from_highest`` (by a later date), or else the order is settled here, which the
+    highest date with a settling payment behind it (``settling``) tells.
+    """
+
+    def __init__(self, key: str, part: int):
+        self.key, self.part = key, part
+        self.start = self.from_ok = self.from_highest = None
+        self.highest = self.settling = self.before_ok = None
+        self.has_ok = False
+
+    def add(self, row: tuple) -> bool:
+        """Read one payment; tells whether it settles the order behind the highest date."""
+        ok, at, _ = row
+        self.start = _next(self.start, row)
+        if not self.has_ok and not ok and at is not None:
+            self.before_ok = at if self.before_ok is None else max(self.before_ok, at)
+        if self.has_ok or ok:
+            self.from_ok = _next(self.from_ok, row)
+        self.has_ok = self.has_ok or ok
+        if at is not None and (self.highest is None or at > self.highest):
+            self.highest, self.from_highest = at, row
+        elif self.from_highest is not None:
+            before = self.from_highest
+            self.from_highest = _next(before, row)
+            if self.from_highest is not before and at is None:
+                self.settling = self.highest
+                return True
+        return False
+
+    def row(self) -> dict:
+        state = lambda s: s and dict(zip(("ok", "at", "ord"), s, strict=True))
+        return {"_key": self.key, "_part": self.part, "top": None, "ord": None, "slice": {
+            "highest": self.highest, "settling": self.settling, "before_ok": self.before_ok,
+            "has_ok": self.has_ok, "start": state(self.start), "from_ok": state(self.from_ok),
+            "from_highest": state(self.from_highest)}}
+
+
+def _read_slices(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The slices of one sorted partition, each held as a few values however long it is."""
+    held = None
+    for batch in batches:
+        out = []
+        columns = (batch.column(c).to_pylist() for c in ("_key", "_part", "_ok", "_at", "_ord"))
+        for key, part, *row in zip(*columns, strict=True):
+            if held is None or held.key != key:
+                if held is not None:
+                    out.append(held.row())
+                held = _Slice(key, part)
+            if held.add(tuple(row)):
+                out.append({"_key": key, "_part": part, "slice": None, "top": held.highest,
+                            "ord": row[2]})
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
+    if held is not None:
+        yield pa.RecordBatch.from_pylist([held.row()], schema=schema)
+
+
+def _through(state: Column, part: Column, piece: Column) -> Column:
+    """The state after a slice (``_Slice``), from the state before it."""
+    def standing(s: Column) -> Column:
+        return F.when(s.isNotNull(), F.struct(
+            s["ok"].alias("ok"), s["at"].alias("at"), s["ord"].alias("ord"),
+            F.lit(None).cast("int").alias("part"), F.lit(None).cast("string").alias("entered")))
+
+    settled = F.struct(
+        F.lit(True).alias("ok"), F.lit(None).cast("string").alias("at"),
+        F.lit(None).cast("bigint").alias("ord"), part.alias("part"), state["at"].alias("entered"))
+    later = F.coalesce(state["at"] < F.when(state["ok"], piece["highest"]).otherwise(
+        piece["before_ok"]), F.lit(False))
+    settles = F.coalesce(state["at"] < piece["settling"], F.lit(False))
+    return (F.when(state.isNull(), standing(piece["start"]))
+            .when(later & settles, settled)
+            .when(later, standing(piece["from_highest"]))
+            .when(~state["ok"] & piece["has_ok"], standing(piece["from_ok"]))
+            .otherwise(state))
 
 
 def _standing_payments(pays: DataFrame) -> DataFrame:
     """(_key, _ord) of the payment that stands at the end of each order, for any dates.
 
-    Dates carry an order along its running maximum until an approved payment without a later
-    date follows one that is not approved; there it starts again. Each round finds that next
-    place for all orders at once. Payments are range-sorted and written, so an order may span
-    many partitions: maxima of its earlier partitions come from an aggregate, and windows only
-    run within one partition. The rounds are as many as the most restarts of an order.
+    Payments are range-sorted, so an order may span many partitions. Each partition's slice of
+    an order becomes a map of fixed size between states; an order has as many maps as
+    partitions, and they are folded in order in one aggregate. Where a slice settles the order,
+    its settling payment is looked up by the date it was entered with. The number of rounds is
+    fixed, whatever the payments.
     """
-    rows = stage(
-        pays.select("_key", "_ord", "_ok", "_at").repartitionByRange("_key", "_ord")
-        .withColumn("_part", F.spark_partition_id()), "open-payments")
-    one = F.struct("_ord", "_ok", "_at")
-    state = rows.groupBy("_key").agg(F.min_by(one, "_ord").alias("_s"))
-    top = _top(F.col("_at"), F.col("_ord"), F.col("_ok"))
-    own = _top(F.col("_s._at"), F.col("_s._ord"), F.col("_s._ok"))
-    done = []
-    while True:
-        state = stage(state, "open-state")
-        later = rows.join(state, "_key").where(F.col("_ord") > F.col("_s._ord"))
-        parts = stage(later.groupBy("_key", "_part").agg(
-            F.max(top).alias("_part_top"), F.first("_s").alias("_s")), "open-parts")
-        earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(
-            Window.unboundedPreceding, -1)
-        incoming = parts.select("_key", "_part", F.greatest(
-            own, F.max("_part_top").over(earlier)).alias("_incoming"))
-        before = Window.partitionBy("_key", "_part").orderBy("_ord").rowsBetween(
-            Window.unboundedPreceding, -1)
-        prior = F.greatest("_incoming", F.max(top).over(before))
-        restart = F.col("_ok") & F.when(F.col("_s._at").isNull(), ~F.col("_s._ok")).otherwise(
-            ~F.col("_prior.ok") & (F.col("_at").isNull() | (F.col("_at") <= F.col("_prior.at"))))
-        restarts = later.join(incoming, ["_key", "_part"]).withColumn("_prior", prior).where(
-            restart).groupBy("_key").agg(F.min_by(one, "_ord").alias("_next"))
-        bests = parts.groupBy("_key").agg(F.max("_part_top").alias("_best"))
-        after = stage(state.join(restarts, "_key", "left").join(bests, "_key", "left"), "open-after")
-        last = F.when(F.col("_s._at").isNull(), F.col("_s._ord")).otherwise(
-            -F.greatest(own, F.col("_best"))["first"])
-        done.append(after.where("_next IS NULL").select("_key", last.alias("_ord")))
-        state = after.where("_next IS NOT NULL").select("_key", F.col("_next").alias("_s"))
-        if state.isEmpty():
-            return reduce(DataFrame.unionByName, done)
+    ordered = pays.select("_key", "_ord", "_ok", "_at").repartitionByRange(
+        "_key", "_ord").sortWithinPartitions("_key", "_ord")
+    schema = to_arrow_schema(StructType.fromDDL(_SLICES))
+    slices = stage(ordered.withColumn("_part", F.spark_partition_id()).mapInArrow(
+        lambda batches: _read_slices(batches, schema), _SLICES), "payment-slices")
+    state = stage(slices.where("slice IS NOT NULL").groupBy("_key").agg(
+        F.sort_array(F.collect_list(F.struct("_part", "slice"))).alias("slices")).select(
+        "_key", F.aggregate("slices", F.lit(None).cast(_STANDING), lambda s, x: _through(
+            s, x["_part"], x["slice"])).alias("s")).select("_key", "s.*"), "payment-states")
+    settled = state.where("part IS NOT NULL").select("_key", F.col("part").alias("_part"), "entered")
+    looked_up = slices.where("slice IS NULL").join(settled, ["_key", "_part"]).where(
+        "top > entered").groupBy("_key").agg(F.min_by("ord", "top").alias("_ord"))
+    return state.where("part IS NULL").select("_key", F.col("ord").alias("_ord")).unionByName(looked_up)
 
 
 def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id") -> DataFrame:
@@ -72,7 +148,7 @@ def latest_payment_per_order(payments: DataFrame, order_col: str = "app_order_id
     * so does the first payment of the latest date if no approved one follows it;
     * without any dates the first approved payment stays, else the first.
 
-    Only the rest, if any, is followed from restart to restart.
+    Only the rest, if any, is folded payment by payment.
     """
     pays = payments.where(F.length(F.col(order_col)) > 0).select(
         F.col(order_col).alias("_key"),
