@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from catalog.base import query
 from turnstile.functions import (
@@ -326,7 +327,7 @@ def _(lake):
 
 @linked("a12_event_pair_counts", PAIRS + "SELECT event_b, event_a, count(*) AS n FROM ep GROUP BY 1, 2")
 def _(lake):
-    return linkage.event_pair_counts(linkage.event_pairs(*people(lake)))
+    return linkage.event_pair_counts(*people(lake))
 
 
 _PAIR_COLUMNS = [f"A {p} {s}" for p in (
@@ -338,7 +339,7 @@ _PAIR_COLUMNS = [f"A {p} {s}" for p in (
     + " FROM ep GROUP BY 1")
 def _(lake):
     return linkage.event_pair_matrix(
-        linkage.event_pair_counts(linkage.event_pairs(*people(lake))))
+        linkage.event_pair_counts(*people(lake)))
 
 
 @linked("a14_crossover_engagement", """
@@ -581,7 +582,9 @@ def write_snapshots(lake, root: str, *snapshots: str) -> None:
     SELECT 'guests' AS entity, CAST(c_custkey AS VARCHAR) AS id, '20260112_000000' AS run_id
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 1
     UNION ALL SELECT CASE WHEN n_regionkey = 1 THEN 'rsvp_events' ELSE 'events' END,
-      CAST(n_nationkey AS VARCHAR), '20260112_000000' FROM nation""")
+      CAST(n_nationkey AS VARCHAR), '20260112_000000' FROM nation
+    UNION ALL SELECT 'attendance_fact', CAST(c_custkey AS VARCHAR), '20260112_000000'
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 1""")
 def _(lake):
     from turnstile.plans.runs import backfill
 
@@ -590,8 +593,9 @@ def _(lake):
     backfill(lake.spark, root, out, "2026-01-10", "2026-02-01", ["events", "guests"])
     tables_ = [lake.spark.read.parquet(f"{out}/{name}").select(
         F.lit(name).alias("entity"), F.col(key).alias("id"), "run_id")
-        for name, key in (("guests", "guest_id"), ("events", "event_id"), ("rsvp_events", "event_id"))]
-    return tables_[0].unionByName(tables_[1]).unionByName(tables_[2])
+        for name, key in (("guests", "guest_id"), ("events", "event_id"),
+                          ("rsvp_events", "event_id"), ("attendance_fact", "guest_id"))]
+    return reduce(DataFrame.unionByName, tables_)
 
 
 @query("r2_full_run", """

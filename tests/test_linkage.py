@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from turnstile.operators import linkage
 from turnstile.operators.linkage import crossover_fuzzy
 
 
@@ -45,3 +48,35 @@ def test_best_match_is_never_missed(spark):
                           spark.createDataFrame(target, schema)).collect()
     assert {r["source_email"]: (r["target_name"], r["target_email"], round(r["match_score"], 6))
             for r in got} == want
+
+
+def test_event_pairs_are_counted_from_sets(spark):
+    """Repeated rows, null events and e-mails, and many people with the same events."""
+    rng = random.Random(11)
+
+    def people(events):
+        rows = [(rng.choice([None] + [f"p{i}" for i in range(60)]),
+                 rng.choice([None, *events])) for _ in range(300)]
+        rows += [(f"fan{i}", e) for i in range(200) for e in events[:5]]
+        return rows
+
+    a, b = people([f"a{i}" for i in range(8)]), people([f"b{i}" for i in range(6)])
+    want = {}
+    for mail in {m for m, _ in a} & {m for m, _ in b} - {None}:
+        for y in {e for m, e in b if m == mail}:
+            for x in {e for m, e in a if m == mail}:
+                want[y, x] = want.get((y, x), 0) + 1
+    frames = [spark.createDataFrame(rows, "email string, event_name string") for rows in (a, b)]
+    counts = linkage.event_pair_counts(*frames)
+    assert {(r["event_b"], r["event_a"]): r["n"] for r in counts.collect()} == want
+    listed = linkage.event_pairs(*frames)
+    assert listed.count() == sum(want.values())
+
+
+def test_matrix_refuses_too_many_columns(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "MOST_COLUMNS", 2)
+    counts = spark.createDataFrame([("b", f"a{i}", 1) for i in range(3)],
+                                   "event_b string, event_a string, n long")
+    with pytest.raises(ValueError, match="event_pair_counts"):
+        linkage.event_pair_matrix(counts)
+    assert linkage.event_pair_matrix(counts.where("event_a <> 'a0'")).count() == 1

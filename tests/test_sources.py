@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnstile.operators.flatten_people import flatten_guests
-from turnstile.plans.runs import backfill, build_facts, build_flat_tables, run_snapshots
+from turnstile.plans.runs import (
+    backfill, build_facts, build_flat_tables, out_of_date, run_snapshots,
+)
 from turnstile.schemas import raw_schema
 from turnstile.sources import bronze, manifest, tables
 from turnstile.streaming.upsert import stream_upsert
@@ -202,6 +204,30 @@ def test_backfill_takes_the_steps_of_a_first_run(spark, tmp_path):
         "20260101_000000", "20260105_000000", SNAP]
 
 
+def test_backfill_rebuilds_what_is_out_of_date_and_nothing_else(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "tables")
+    for snap in ("20260105_000000", SNAP):
+        minimal(raw, snap)
+        build_facts(spark, out, snap, build_flat_tables(
+            spark, str(raw), out, snap, array_files=True))
+
+    def files():
+        return {str(f.relative_to(out)): f.stat().st_mtime_ns
+                for f in (tmp_path / "tables").rglob("*.parquet")}
+
+    before = files()
+    backfill(spark, str(raw), out, "2026-01-05", "2026-01-06", ["guests"], array_files=True)
+    after = files()
+    touched = {name for name in before.keys() | after.keys() if before.get(name) != after.get(name)}
+    assert {name.split("/")[0] for name in touched} == {"guests", "attendance_fact"}
+    assert all("20260105_000000" in name for name in touched)
+    assert tables.table_read(spark, out, "attendance_fact", "20260105_000000").count() == 2
+    assert out_of_date(["contacts"]) == (
+        ["contacts", "guests"], ["attendance_fact", "payments_fact"])
+    assert out_of_date(["ticket_definitions"])[0] == ["ticket_definitions", "tickets"]
+    assert out_of_date(["coupons"]) == (["coupons"], [])
+
+
 def test_unreadable_lines_are_set_aside_and_counted(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "tables")
     put(raw, "members", '{"id": "b", "_ord": 1}\n{"id": "a", \n{"id": "c", "_ord": 3}\n')

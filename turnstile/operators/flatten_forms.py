@@ -8,6 +8,8 @@ from turnstile.functions.text import sanitize_key
 from turnstile.functions.values import first_filled
 from turnstile.operators.shaping import last_entries, shape, stamps, variant_text
 
+MOST_COLUMNS = 10_000
+
 
 def _header() -> dict:
     return {
@@ -54,11 +56,15 @@ def pivot_submissions(submissions: DataFrame, keys: list[str] | None = None) ->
     """Wide export with one column per ``field_*`` key of ``flatten_submissions_wide``.
 
     Unless given, all distinct keys are read in a first pass; they are the column names of the
-    result. For keys beyond what a table can have as columns, keep the map.
+    result, so more than ``MOST_COLUMNS`` are an error. For such tables keep the map, or the
+    long form of ``flatten_submissions_long``.
     """
     if keys is None:
-        found = submissions.select(F.explode(F.map_keys("fields")).alias("k")).distinct()
-        keys = sorted(r["k"] for r in found.collect())
+        found = submissions.select(F.explode(F.map_keys("fields")).alias("k")).distinct().limit(
+            MOST_COLUMNS + 1).collect()
+        if len(found) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} keys: use flatten_submissions_long")
+        keys = sorted(r["k"] for r in found)
     plain = [c for c in submissions.columns if c != "fields"]
     return submissions.select(
         *plain, *[F.element_at("fields", F.lit(k)).alias(k) for k in keys]

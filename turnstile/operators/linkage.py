@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnstile.functions.similarity import indel_ratio, sorted_tokens
 from turnstile.functions.text import normalize_email, normalize_name
+from turnstile.session import stage
+
+MOST_COLUMNS = 10_000
 
 
 def normalize_people(df: DataFrame) -> DataFrame:
@@ -206,9 +209,38 @@ def event_pairs(people_a: DataFrame, people_b: DataFrame) -> DataFrame:
     return b.join(a, "email").select("event_b", "event_a", "email")
 
 
-def event_pair_counts(pairs: DataFrame) -> DataFrame:
-    """People per (event on B, event on A), most frequent first."""
-    return pairs.groupBy("event_b", "event_a").agg(F.count("*").alias("n")).orderBy(
+def _event_sets(people: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(email, set) and (set, event): e-mails by a 128-bit signature of their distinct events.
+
+    The signature is an order-free sum, so no set is ever gathered in one row; the events of a
+    set are those of its first e-mail.
+    """
+    attended = stage(people.where("email IS NOT NULL").select(
+        "email", F.col("event_name").alias("event")).distinct(), "events-attended")
+    digest = lambda salt: F.sum(F.xxhash64("event", F.lit(salt)).cast("decimal(38,0)"))
+    sets = stage(attended.groupBy("email").agg(F.struct(
+        F.count("*").alias("n"), digest(1).alias("x"), digest(2).alias("y")).alias("set")),
+        "event-sets")
+    first = sets.groupBy("set").agg(F.min("email").alias("email"))
+    return sets, attended.join(first, "email").select("set", "event")
+
+
+def event_pair_counts(people_a: DataFrame, people_b: DataFrame) -> DataFrame:
+    """People per (event on B, event on A), most frequent first.
+
+    Equal to counting ``event_pairs``, without listing them: shared e-mails with the same events
+    on both platforms are counted as one pair of event sets, and each side's set is expanded
+    only after that, B first, so at most (event on B, set on A) rows meet the events on A.
+    """
+    sets_a, events_a = _event_sets(people_a)
+    sets_b, events_b = _event_sets(people_b)
+    shared = sets_a.select("email", F.col("set").alias("set_a")).join(
+        sets_b.select("email", F.col("set").alias("set_b")), "email").groupBy(
+        "set_a", "set_b").agg(F.count("*").alias("n"))
+    by_b = shared.join(events_b.select(F.col("set").alias("set_b"), F.col("event").alias("event_b")),
+                       "set_b").groupBy("event_b", "set_a").agg(F.sum("n").alias("n"))
+    return by_b.join(events_a.select(F.col("set").alias("set_a"), F.col("event").alias("event_a")),
+                     "set_a").groupBy("event_b", "event_a").agg(F.sum("n").alias("n")).orderBy(
         F.col("n").desc(), "event_b", "event_a")
 
 
@@ -216,10 +248,14 @@ def event_pair_matrix(counts: DataFrame, events: list[str] | None = None) -> Dat
     """Pair counts with one column per event on A, 0 where there is no pair.
 
     Unless given, all event names are read in a first pass; they are the column names of the
-    result. ``event_pair_counts`` is the form without a bound on the number of events.
+    result, so more than ``MOST_COLUMNS`` are an error. ``event_pair_counts`` is the form
+    without a bound on the number of events.
     """
     if events is None:
-        events = sorted(r["event_a"] for r in counts.select("event_a").distinct().collect())
+        names = counts.select("event_a").distinct().limit(MOST_COLUMNS + 1).collect()
+        if len(names) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} events: use event_pair_counts")
+        events = sorted(r["event_a"] for r in names)
     return counts.groupBy("event_b").pivot("event_a", events).agg(F.sum("n")).na.fill(0)
 
 

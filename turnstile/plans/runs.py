@@ -15,6 +15,7 @@ from turnstile.operators.enrich import exclude_rsvp_guests, tickets_with_definit
 from turnstile.plans.attendance_fact import build_attendance_fact
 from turnstile.plans.payments_fact import build_payments_fact
 from turnstile.schemas import raw_schema
+from turnstile.session import stage as staged
 from turnstile.sources.bronze import bronze_read, resolve_snapshots, snapshot_ids, snapshot_list
 from turnstile.sources.manifest import RunManifest
 from turnstile.sources.tables import table_read, table_write
@@ -36,6 +37,8 @@ FLATTENERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Raw entities that a flat table reads besides its own.
+ALSO_READ = {"guests": ("events", "contacts"), "tickets": ("ticket_definitions",)}
 # What each fact reads.
 NEEDED = {
     "attendance_fact": ("guests", "events", "contacts", "members", "ticket_definitions", "tickets",
@@ -45,6 +48,12 @@ NEEDED = {
 }
 
 
+def out_of_date(refilled: list[str]) -> tuple[list[str], list[str]]:
+    """Flat tables and facts that raw snapshots of some entities make stale, in build order."""
+    flat = [e for e in FLATTENERS if {e, *ALSO_READ.get(e, ())}.intersection(refilled)]
+    return flat, [fact for fact, needed in NEEDED.items() if set(needed).intersection(flat)]
+
+
 def empty_raw(spark: SparkSession, entity: str) -> DataFrame:
     """A snapshot of an entity without records."""
     return spark.createDataFrame([], T.StructType(
@@ -85,10 +94,15 @@ def build_flat_tables(
     number to the manifest. ``names`` gives the source's field names per entity.
     """
     manifest = manifest or RunManifest(spark, snapshot)
+    parsed: dict[str, DataFrame] = {}
 
     def whole(entity: str) -> DataFrame:
-        return bronze_read(spark, raw_root, entity, snapshot, array_file=array_files,
-                           names=(names or {}).get(entity))
+        """The records of an entity; their text is parsed once per run, whoever reads them."""
+        if entity not in parsed:
+            parsed[entity] = staged(bronze_read(
+                spark, raw_root, entity, snapshot, array_file=array_files,
+                names=(names or {}).get(entity)), f"parsed-{entity}")
+        return parsed[entity]
 
     def raw(entity: str) -> DataFrame:
         return whole(entity).where("_corrupt_record IS NULL")
@@ -102,8 +116,7 @@ def build_flat_tables(
                 extra = {}
                 rejects = records.where("_corrupt_record IS NOT NULL").select(
                     "_ord", "_corrupt_record")
-                # Not count(): Spark refuses to read nothing but the column of bad records.
-                n_rejects = rejects.agg(F.count("*").alias("n"), F.max("_ord")).first()["n"]
+                n_rejects = rejects.count()
                 if n_rejects:
                     extra = {"rejected_rows": str(n_rejects), "rejects": table_write(
                         rejects, table_root, f"rejects_{entity}", snapshot)}
@@ -130,8 +143,9 @@ def flat_table(spark: SparkSession, table_root: str, entity: str, snapshot: str)
 def build_facts(
     spark: SparkSession, table_root: str, snapshot: str,
     manifest: RunManifest | None = None, include_inactive: bool = False,
+    facts: list[str] | None = None,
 ) -> RunManifest:
-    """Build both facts of one snapshot from its flat tables.
+    """Build the facts (both, unless named) of one snapshot from its flat tables.
 
     Entities without records count as empty; a fact is refused if an entity it needs failed.
     """
@@ -142,14 +156,11 @@ def build_facts(
             raise RuntimeError(f"{fact} needs entities that failed: {', '.join(sorted(broken))}")
         return [flat_table(spark, table_root, name, snapshot) for name in NEEDED[fact]]
 
-    with manifest.stage("attendance_fact") as stage:
-        fact = build_attendance_fact(*inputs("attendance_fact"), include_inactive)
-        stage.record(table_path=table_write(
-            stage.counted(fact), table_root, "attendance_fact", snapshot))
-    with manifest.stage("payments_fact") as stage:
-        fact = build_payments_fact(*inputs("payments_fact"))
-        stage.record(table_path=table_write(
-            stage.counted(fact), table_root, "payments_fact", snapshot))
+    for name in facts if facts is not None else list(NEEDED):
+        with manifest.stage(name) as stage:
+            fact = (build_attendance_fact(*inputs(name), include_inactive)
+                    if name == "attendance_fact" else build_payments_fact(*inputs(name)))
+            stage.record(table_path=table_write(stage.counted(fact), table_root, name, snapshot))
     return manifest
 
 
@@ -169,10 +180,19 @@ def backfill(
     spark: SparkSession, raw_root: str, table_root: str, start: str, end: str,
     entities: list[str], array_files: bool = False,
 ) -> list[RunManifest]:
-    """Flatten again every snapshot dated in [start, end), by the same steps as a first run;
-    other snapshots stay untouched."""
+    """Bring every snapshot dated in [start, end) up to date with the raw data of ``entities``.
+
+    By the same steps as a first run, those flat tables that read one of the entities and those
+    facts that read one of these tables are built again (``out_of_date``); all other tables, and
+    all tables of other snapshots, keep their files.
+    """
     ids = sorted({i for e in entities for i in snapshot_ids(spark, raw_root, e, start, end)})
-    return [build_flat_tables(spark, raw_root, table_root, i, entities, array_files) for i in ids]
+    flat, facts = out_of_date(entities)
+    runs = []
+    for i in ids:
+        run = build_flat_tables(spark, raw_root, table_root, i, flat, array_files)
+        runs.append(build_facts(spark, table_root, i, run, facts=facts))
+    return runs
 
 
 def incremental_cutoff(table: DataFrame, updated: str = "updated_datetime") -> str | None:
