@@ -327,19 +327,31 @@ class Confirmed:
         self._merge(verdicts.where("linked").select("a", "b"))
 
     def _merge(self, links: DataFrame) -> None:
-        """Contract new links to the components known so far and join those."""
+        """Hook labels that new links join onto the smallest of them, over two steps.
+
+        Equal labels mean one component, not the reverse: that saves comparisons, while the
+        components themselves are made once, from all links.
+        """
         of = lambda side: self.roots.select(F.col("sid").alias(side), F.col("root").alias(f"root_{side}"))
-        joined = stage(links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
-            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
-        ).where("a <> b").distinct(), "links-new")
-        if joined.isEmpty():
+        hooks = stage(links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+            F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")
+        ).where("x <> y").groupBy(F.greatest("x", "y").alias("node")).agg(
+            F.min(F.least("x", "y")).alias("top")), "label-hooks")
+        if hooks.isEmpty():
             return
-        merged = stage(connected_components(joined).withColumnRenamed("root", "top"), "roots-merged")
-        lifted = self.roots.join(merged, F.col("root") == F.col("node"), "left").select(
+        again = hooks.select(F.col("node").alias("top"), F.col("top").alias("higher"))
+        tops = stage(hooks.join(again, "top", "left").select(
+            "node", F.coalesce("higher", "top").alias("top")), "label-tops")
+        lifted = self.roots.join(tops, F.col("root") == F.col("node"), "left").select(
             "sid", F.coalesce("top", "root").alias("root"))
-        fresh = merged.join(self.roots, F.col("node") == F.col("sid"), "left_anti").select(
+        fresh = tops.join(self.roots, F.col("node") == F.col("sid"), "left_anti").select(
             F.col("node").alias("sid"), F.col("top").alias("root"))
-        self.roots = stage(lifted.union(fresh), "set-roots")
+        self.roots = stage(lifted.union(fresh), "set-labels")
+
+    def components(self) -> DataFrame:
+        """(sid, root) of all sets with a link."""
+        links = self.checked.where("linked").select("a", "b")
+        return stage(connected_components(links).withColumnRenamed("node", "sid"), "set-roots")
 
 
 def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -372,7 +384,8 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         below = stage(next_nodes(large, sets, branching), "next-nodes")
         mixed, depth = _mixed(_crowded(below), facts, known.roots), depth + 1
         known.add(pairs.union(pivot_pairs(mixed, percent)))
-    rooted = stage(sets.select("sid", "d0", "d1", "low_id").join(known.roots, "sid", "left").select(
+    rooted = stage(sets.select("sid", "d0", "d1", "low_id").join(
+        known.components(), "sid", "left").select(
         "d0", "d1", "low_id", F.coalesce("root", "sid").alias("root")), "sets-rooted")
     lows = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
     named = stage(rooted.join(lows, "root").select("d0", "d1", "component_id", F.lit(True).alias("set")),
