@@ -12,7 +12,8 @@ others meet somewhere (the pivot) is compared with all, and sets already known t
 component are not compared again; nodes within one component are done. A group of near copies
 thus costs a comparison per member, not per pair, and only nodes that mix components branch on.
 Pairs whose sizes or 128-bit minwise sketches rule them out are skipped; the sketch loses a
-linked pair with probability below 1e-7. All others are confirmed on the full sets, in Spark SQL.
+linked pair with probability below 1e-7. All others are confirmed on the full sets, in units of up
+to twice ``LEAF_SETS`` sets that hold each set once however many pairs it is in.
 
 Full sets are made only for candidates: a second pass over the texts is thinned by a bitmap of
 fixed size over text hashes and then joined by the set's 128-bit digest.
@@ -234,21 +235,51 @@ def _may_link(a: str, b: str, percent: int) -> Column:
             & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)))
 
 
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(f"{a}.sid", f"{b}.sid").alias("a"), F.greatest(f"{a}.sid", f"{b}.sid").alias("b")]
+def _pair(a: str, b: str, leaf: int) -> list[Column]:
+    """a, b and the unit that checks them: a node, or a part of one larger than ``leaf``."""
+    low, high = F.least(f"{a}.sid", f"{b}.sid"), F.greatest(f"{a}.sid", f"{b}.sid")
+    parts = F.ceil(F.col("n") / leaf)
+    unit = F.xxhash64("path", F.pmod(F.xxhash64(low), parts), F.pmod(F.xxhash64(high), parts))
+    return [low.alias("a"), high.alias("b"), unit.alias("unit")]
 
 
-def pivot_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    rows = mixed.select(F.struct("sid", "size", "k0", "k1", "root").alias("x"), "pivot")
-    return rows.where(_may_link("x", "pivot", percent)).select(*_pair("x", "pivot"))
+def pivot_pairs(mixed: DataFrame, percent: int, leaf: int) -> DataFrame:
+    rows = mixed.select("path", F.struct("sid", "size", "k0", "k1", "root").alias("x"), "pivot", "n")
+    return rows.where(_may_link("x", "pivot", percent)).select(*_pair("x", "pivot", leaf))
 
 
-def leaf_pairs(mixed: DataFrame, percent: int, leaf: int) -> DataFrame:
-    small = mixed.where(F.col("n") <= leaf).select(
-        "path", F.struct("sid", "size", "k0", "k1", "root").alias("x"))
+def leaf_pairs(mixed: DataFrame, percent: int, limit: int, leaf: int) -> DataFrame:
+    """Pairs of the nodes of up to ``limit`` sets."""
+    small = mixed.where(F.col("n") <= limit).select(
+        "path", "n", F.struct("sid", "size", "k0", "k1", "root").alias("x"))
     other = small.select("path", F.col("x").alias("y"))
     return small.join(other, "path").where(
-        (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent)).select(*_pair("x", "y"))
+        (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent)
+    ).select(*_pair("x", "y", leaf))
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b, common: the size of the intersection of every pair of a unit."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            sets, pairs = batch.column("sets")[i].values, batch.column("pairs")[i].values
+            hashes = sets.field("hashes")
+            values = np.asarray(hashes.flatten())
+            ends = np.cumsum(np.asarray(hashes.value_lengths()))
+            place = {sid: k for k, sid in enumerate(sets.field("sid").to_pylist())}
+            full = [np.sort(v) for v in np.split(values, ends[:-1])]
+            a, b = np.asarray(pairs.field("a")), np.asarray(pairs.field("b"))
+            common = np.zeros(len(a), np.int64)
+            for one in np.unique(a).tolist():
+                mine, at = full[place[one]], np.flatnonzero(a == one)
+                for some in np.array_split(at, -(-len(at) // 64)):
+                    others = [full[place[x]] for x in b[some].tolist()]
+                    flat = np.concatenate(others)
+                    spot = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                    starts = np.cumsum([0, *map(len, others)])[:-1]
+                    common[some] = np.add.reduceat((mine[spot] == flat).astype(np.int64), starts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.array(common)], names=["a", "b", "common"])
 
 
 def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -306,8 +337,8 @@ class Confirmed:
 
     def add(self, candidates: DataFrame) -> None:
         """Check candidates that are new."""
-        new = stage(candidates.distinct().join(self.checked, ["a", "b"], "left_anti"),
-                    "pairs-new")
+        new = stage(candidates.groupBy("a", "b").agg(F.min("unit").alias("unit")).join(
+            self.checked, ["a", "b"], "left_anti"), "pairs-new")
         if new.isEmpty():
             return
         ids = new.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(
@@ -317,11 +348,14 @@ class Confirmed:
         if not wanted.isEmpty():
             self.full = self.full.union(stage(
                 full_sets(self.source, wanted, self.words), "sets-full"))
-        of = lambda side: self.full.select(F.col("sid").alias(side), F.col("hashes").alias(f"set_{side}"))
-        both = new.join(of("b"), "b").join(of("a"), "a")
-        common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-        union = F.size("set_a") + F.size("set_b") - F.col("common")
-        verdicts = stage(both.select("a", "b", "set_a", "set_b", common.alias("common")).select(
+        asked = new.groupBy("unit").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+        held = new.select("unit", F.explode(F.array("a", "b")).alias("sid")).distinct().join(
+            self.full, "sid").groupBy("unit").agg(
+            F.collect_list(F.struct("sid", "hashes")).alias("sets"))
+        common = asked.join(held, "unit").mapInArrow(_common, "a long, b long, common long")
+        sizes = lambda side: self.sets.select(F.col("sid").alias(side), F.col("size").alias(f"size_{side}"))
+        union = F.col("size_a") + F.col("size_b") - F.col("common")
+        verdicts = stage(common.join(sizes("a"), "a").join(sizes("b"), "b").select(
             "a", "b", (100 * F.col("common") >= self.percent * union).alias("linked")), "pairs-checked")
         self.checked = self.checked.union(verdicts)
         self._merge(verdicts.where("linked").select("a", "b"))
@@ -372,18 +406,18 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     facts = stage(sets.select("sid", "size", "k0", "k1").join(met, "sid"), "set-facts")
     known = Confirmed(source, sets, words, percent)
     mixed = _mixed(nodes, facts, known.roots)
-    known.add(pivot_pairs(mixed, percent))
+    known.add(pivot_pairs(mixed, percent, leaf))
     depth = 1
     while not mixed.isEmpty():
         mixed = _mixed(mixed, facts, known.roots)
         limit = leaf if depth < DEEPEST else 1 << 62
-        pairs, large = leaf_pairs(mixed, percent, limit), mixed.where(F.col("n") > limit)
+        pairs, large = leaf_pairs(mixed, percent, limit, leaf), mixed.where(F.col("n") > limit)
         if large.isEmpty():
             known.add(pairs)
             break
         below = stage(next_nodes(large, sets, branching), "next-nodes")
         mixed, depth = _mixed(_crowded(below), facts, known.roots), depth + 1
-        known.add(pairs.union(pivot_pairs(mixed, percent)))
+        known.add(pairs.union(pivot_pairs(mixed, percent, leaf)))
     rooted = stage(sets.select("sid", "d0", "d1", "low_id").join(
         known.components(), "sid", "left").select(
         "d0", "d1", "low_id", F.coalesce("root", "sid").alias("root")), "sets-rooted")
