@@ -137,7 +137,7 @@ def test_chosen_path_edges(edge_docs, no_docs):
     assert joined(no_docs) == []
 
 
-@pytest.mark.parametrize("leaf", [128, 40])
+@pytest.mark.parametrize("leaf", [128, 64])
 def test_chosen_path_hot_group(spark, leaf):
     """Copies of one text with a few words changed, and texts that share half of it."""
     rng = random.Random(9)
