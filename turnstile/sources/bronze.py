@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from turnstile.schemas import raw_schema
+from turnstile.sources.arrays import read_arrays
 
 SNAPSHOT_ID = r"(\d{8}_\d{6})"
 
@@ -45,6 +46,15 @@ def _renamed(kind: T.DataType, names: dict[str, str], at: str = "") -> T.DataTyp
         for f in kind.fields])
 
 
+def _is_large(spark: SparkSession, path: str) -> bool:
+    """Whether a plain file has more bytes than the session reads in one task."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found) or []
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return any(f.isFile() and f.getLen() > limit for f in files)
+
+
 def bronze_read(
     spark: SparkSession, root: str, entity: str, snapshot: str,
     schema: T.StructType | None = None, array_file: bool = False,
@@ -55,8 +65,9 @@ def bronze_read(
     A missing snapshot reads as an empty table. Records that do not parse keep their text in
     ``_corrupt_record`` instead of vanishing. In an array file Spark cannot tell which record
     a bad field belongs to: the field reads as null and its record stays. Written snapshots
-    carry ``_ord``; for an array file it is the position in the file. ``names`` maps fields,
-    as dotted paths of the schema, to the names they have in the source.
+    carry ``_ord``; for an array file it is the position in the file. An array file larger than
+    one split of the session is cut into records by all cores, with the same result. ``names``
+    maps fields, as dotted paths of the schema, to the names they have in the source.
     """
     target = schema or raw_schema(entity)
     schema = _renamed(target, names or {})
@@ -67,7 +78,8 @@ def bronze_read(
     reader = spark.read.schema(wanted).option("multiLine", array_file).option(
         "columnNameOfCorruptRecord", "_corrupt_record")
     try:
-        raw = reader.json(path)
+        split = array_file and _is_large(spark, path)
+        raw = read_arrays(spark, path, schema) if split else reader.json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -78,10 +90,8 @@ def bronze_read(
               for have, want in zip(schema.fields, target.fields, strict=True)],
             *[c for c in ("_corrupt_record", "_ord") if c in raw.columns])
     if array_file:
-        raw = raw.withColumns({
-            "_ord": F.monotonically_increasing_id(),
-            "_corrupt_record": F.lit(None).cast("string"),
-        })
+        position = F.col("_ord") if "_ord" in raw.columns else F.monotonically_increasing_id()
+        raw = raw.withColumns({"_ord": position, "_corrupt_record": F.lit(None).cast("string")})
     return raw.withColumn("run_id", F.lit(snapshot))
 
 
@@ -184,7 +194,7 @@ def bronze_range(
 def array_to_lines(spark: SparkSession, root: str, entity: str, snapshot: str, to_root: str) -> str:
     """Write an as-pulled array snapshot once as JSON lines with ``_ord``.
 
-    Spark reads an array file in one task; every later read of the lines is split.
+    Every later read of the lines is split without a search for the records.
     """
     rows = bronze_read(spark, root, entity, snapshot, array_file=True)
     return bronze_write(rows.drop("run_id", "_corrupt_record"), to_root, entity, snapshot)
