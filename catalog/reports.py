@@ -14,6 +14,7 @@ from catalog.gold_sql import (
 )
 from turnstile.functions.values import midpoint_price
 from turnstile.operators import enrich, filters, flatten_forms, flatten_people, tidy
+from turnstile.operators.reconcile import compare_exports
 from turnstile.operators.shaping import conform
 from turnstile.plans import reports, views
 from turnstile.schemas import raw_schema
@@ -470,6 +471,39 @@ def _(lake):
     return enrich.reconcile(left, right, "app_order_id", "status")
 
 
+# Two exports of the order lines: the second lacks some, and has other or no status for others.
+EXPORTS = """
+    WITH u AS (SELECT CAST(l_orderkey AS VARCHAR) AS key, l_linestatus AS status, 1 AS a, 0 AS b
+        FROM lineitem
+      UNION ALL SELECT CAST(l_orderkey AS VARCHAR), CASE WHEN l_discount = 0 THEN NULL
+          WHEN l_tax > 0.07 THEN 'REFUNDED' ELSE l_linestatus END, 0, 1
+        FROM lineitem WHERE l_quantity < 50),
+    d AS (SELECT key, status, CAST(sum(a) AS BIGINT) AS n_left, CAST(sum(b) AS BIGINT) AS n_right
+        FROM u GROUP BY 1, 2)"""
+
+
+def exports(lake: Lake):
+    left = lake.sql("SELECT CAST(l_orderkey AS STRING) AS number, l_linestatus AS state FROM {lineitem}")
+    right = lake.sql("""SELECT CAST(l_orderkey AS STRING) AS number, CASE WHEN l_discount = 0 THEN NULL
+        WHEN l_tax > 0.07 THEN 'REFUNDED' ELSE l_linestatus END AS state
+        FROM {lineitem} WHERE l_quantity < 50""")
+    return compare_exports(left, right, "number", "state")
+
+
+@query("j16_export_status_counts", EXPORTS + """
+    SELECT status, CAST(sum(n_left) AS BIGINT) AS rows_left, CAST(sum(n_right) AS BIGINT) AS rows_right,
+      CAST(sum(least(n_left, n_right)) AS BIGINT) AS in_both,
+      CAST(sum(greatest(n_left - n_right, 0)) AS BIGINT) AS left_only,
+      CAST(sum(greatest(n_right - n_left, 0)) AS BIGINT) AS right_only FROM d GROUP BY 1""")
+def _(lake):
+    return exports(lake)[0]
+
+
+@query("j16_export_differences", EXPORTS + " SELECT * FROM d WHERE n_left <> n_right")
+def _(lake):
+    return exports(lake)[1]
+
+
 @query("s10_l5_payments_filter", """
     SELECT transaction_id, payment_datetime, status FROM t_payment
     WHERE payment_datetime >= '2024-01-05' AND payment_datetime <= '2024-01-20'
