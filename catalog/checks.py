@@ -31,6 +31,7 @@ from turnstile.operators.shaping import conform
 from turnstile.schemas import raw_schema
 from turnstile.session import scratch_root, stage
 from turnstile.sources import bronze, manifest, tables
+from turnstile.sources.arrays import read_arrays
 
 # Shapes of date text by event type; zones by user.
 DATE_TEXT = """
@@ -490,6 +491,24 @@ def _(lake):
                        F.col("_corrupt_record").alias("corrupt"), "run_id")
 
 
+@query("s1_array_files", """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name || ' } "{[' AS nickname,
+      CAST(c_custkey // 500 AS VARCHAR) AS chunk FROM customer""")
+def _(lake):
+    # One array file per 500 customers, with the marks of JSON inside texts.
+    root = fresh(lake, "arrays")
+    record = F.to_json(F.struct(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.struct(F.concat("c_name", F.lit(' } "{[')).alias("nickname")).alias("profile"),
+        F.floor(F.col("c_custkey") / 500).cast("string").alias("chunk")))
+    files = lake.customer.groupBy(F.floor(F.col("c_custkey") / 500).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(record), ", "), F.lit("]")).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(root)
+    rows = read_arrays(lake.spark, root, T.StructType.fromDDL(
+        "id string, profile struct<nickname: string>, chunk string"))
+    return rows.select("id", "profile.nickname", "chunk")
+
+
 @query("s3_s6_s13_snapshots", """
     SELECT DISTINCT 'orders' AS entity, strftime(o_orderdate, '%Y%m') || '01_000000' AS snapshot_id,
       date_diff('day', CAST(date_trunc('month', o_orderdate) AS DATE), DATE '1999-01-01')::INT

@@ -11,7 +11,7 @@ from turnstile.plans.runs import (
 )
 from turnstile.schemas import raw_schema
 from turnstile.sources import bronze, manifest, tables
-from turnstile.streaming.upsert import stream_upsert
+from turnstile.streaming.upsert import stream_upsert, upsert_batch
 
 SNAP = "20260211_143022"
 
@@ -158,6 +158,47 @@ def test_stream_upsert_takes_only_new_files(spark, tmp_path):
         == {"a": "new", "b": "x"}
 
 
+def test_upsert_writes_changed_buckets_only_and_one_file_each(spark, tmp_path):
+    target = str(tmp_path / "t")
+
+    def put_batch(records):
+        upsert_batch(target, spark.createDataFrame(
+            records, "id string, v string, at string").repartition(3), "id", "at", 4)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+
+    first = [(f"k{i}", "x", "2024-01-02") for i in range(60)] + [("n", "a", None), ("n", "a", None)]
+    put_batch(first)
+    before = files()
+    assert len(before) == 4
+    put_batch(first)
+    put_batch([("k1", "late", "2024-01-01"), ("k2", "late", None), ("", "no key", "2025-01-01")])
+    assert files() == before
+    put_batch([("k1", "new", "2024-01-03"), ("k3", "late", "2023-01-01")])
+    after = files()
+    assert len(after) == 4 and len(before.keys() - after.keys()) == 1
+    put_batch([("n", "b", None), ("k2", "tie", "2024-01-02"), ("z", "first", None)])
+    rows = {r["id"]: r["v"] for r in spark.read.parquet(target).collect()}
+    assert len(rows) == 62 and spark.read.parquet(target).count() == 62
+    assert (rows["k1"], rows["k2"], rows["k3"], rows["n"], rows["z"]) == ("new", "tie", "x", "b", "first")
+
+
+def test_stream_started_again_from_nothing_writes_nothing(spark, tmp_path):
+    source, target = str(tmp_path / "s"), tmp_path / "t"
+    spark.createDataFrame([("a", "1", 1), ("b", "1", 2)], "id string, at string, _ord bigint") \
+        .write.json(source)
+    schema = spark.createDataFrame([], "id string, at string").schema
+
+    def run(checkpoint):
+        stream_upsert(spark, source, schema, lambda rows: rows, str(target),
+                      str(tmp_path / checkpoint), "id", "at", buckets=2).awaitTermination()
+        return {str(f): f.stat().st_mtime_ns for f in target.rglob("*.parquet")}
+
+    once = run("c1")
+    assert once and run("c1") == once and run("c2") == once
+
+
 def minimal(raw, snapshot=SNAP):
     put(raw, "events", [
         {"id": "e1", "title": "Jam", "registration": {"type": "TICKETING"}},
@@ -262,8 +303,6 @@ def test_names_that_look_missing_survive_csv(spark, tmp_path):
 
 
 def test_unreadable_target_is_not_replaced(spark, tmp_path):
-    from turnstile.streaming.upsert import upsert_batch
-
     target = tmp_path / "t" / "buckets=4" / "bucket=0"
     target.mkdir(parents=True)
     (target / "part-0.parquet").write_text("not parquet")

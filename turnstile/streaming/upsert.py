@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -10,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.operators.enrich import upsert_latest
-from turnstile.session import scratch_root
-
+from turnstile.session import stage
 
 
 def existing_buckets(spark: SparkSession, target: str) -> tuple[DataFrame | None, int | None]:
@@ -32,11 +30,12 @@ def existing_buckets(spark: SparkSession, target: str) -> tuple[DataFrame | None
 def upsert_batch(
     target: str, batch: DataFrame, key: str, updated: str, buckets: int | None = None
 ) -> None:
-    """Merge a batch into a table partitioned by key hash, rewriting only touched buckets.
+    """Merge a batch into a table partitioned by key hash, rewriting only what changes.
 
     The number of buckets is set when the table is made (the session's shuffle partitions
     unless given, so a larger session makes a finer table) and kept with it as ``buckets``.
-    Merging twice gives the same table, so a batch repeated after a failure does no harm.
+    A bucket is rewritten, as one file, if a row of the batch takes the place of another one
+    there; a batch repeated after a failure, or one with late rows only, writes nothing.
     """
     spark = batch.sparkSession
     table, known = existing_buckets(spark, target)
@@ -44,16 +43,32 @@ def upsert_batch(
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     delta = batch.where(F.length(key) > 0).withColumn(
         "buckets", F.lit(buckets)).withColumn("bucket", bucket)
-    touched = [r["bucket"] for r in delta.select("bucket").distinct().collect()]
+    # Written aside: a table cannot be read and overwritten in one job.
+    changed = stage(delta if table is None else changed_rows(table, delta, key, updated), "upsert-delta")
+    touched = [r["bucket"] for r in changed.select("bucket").distinct().collect()]
     if not touched:
         return
-    existing = delta.limit(0) if table is None else table.where(F.col("bucket").isin(touched))
-    # Written aside first: a table cannot be read and overwritten in one job.
-    aside = f"{scratch_root(spark)}/upsert-{uuid.uuid4().hex}"
-    upsert_latest(existing, delta, key, updated).write.parquet(aside)
-    merged = spark.read.parquet(aside)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "buckets", "bucket").parquet(target)
+    existing = changed.limit(0) if table is None else table.where(F.col("bucket").isin(touched))
+    merged = stage(upsert_latest(existing, changed, key, updated), "upsert-merged")
+    merged.repartition("bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(target)
+
+
+def changed_rows(table: DataFrame, delta: DataFrame, key: str, updated: str) -> DataFrame:
+    """The latest row per key of ``delta`` where it replaces a different row or none.
+
+    Rows are equal if their JSON forms are, so absent columns count as null ones.
+    """
+    same = [c for c in delta.columns if c not in ("buckets", "bucket")]
+    form = lambda df: F.to_json(F.struct(*[c for c in same if c in df.columns]))
+    latest = upsert_latest(delta.limit(0), delta, key, updated).withColumn("_form", form(delta))
+    stored = table.select(
+        "bucket", key, F.col(updated).alias("_stored"), form(table).alias("_stored_form"))
+    late = F.col("_stored").isNotNull() & ~F.coalesce(
+        F.col(updated) >= F.col("_stored"), F.lit(False))
+    return latest.join(stored, ["bucket", key], "left").where(
+        F.col("_stored_form").isNull() | ~(late | (F.col("_form") == F.col("_stored_form")))
+    ).select(*delta.columns)
 
 
 def stream_upsert(
