@@ -11,6 +11,8 @@ Nodes of up to ``LEAF_SETS`` sets are compared exhaustively. In every node the s
 others meet somewhere (the pivot) is compared with all, and sets already known to be of one
 component are not compared again; nodes within one component are done. A group of near copies
 thus costs a comparison per member, not per pair, and only nodes that mix components branch on.
+A larger node counts as small too if the sets outside its pivot's component, times all its sets,
+are no more comparisons than a node of ``LEAF_SETS`` may take.
 Pairs whose sizes or 128-bit minwise sketches rule them out are skipped; the sketch loses a
 linked pair with probability below 1e-7. All others are confirmed on the full sets, in units of up
 to twice ``LEAF_SETS`` sets that hold each set once however many pairs it is in.
@@ -216,17 +218,27 @@ def _crowded(nodes: DataFrame) -> DataFrame:
 
 
 def _mixed(nodes: DataFrame, facts: DataFrame, roots: DataFrame) -> DataFrame:
-    """Sets of the nodes that hold several components, each with its node's size and pivot."""
+    """Sets of the nodes that hold several components, each with its node's size and pivot.
+
+    ``others`` counts the sets of the node outside the pivot's component.
+    """
     own = stage(nodes.select("sid", "path").join(facts, "sid").join(roots, "sid", "left").select(
         "path", "sid", "size", "k0", "k1", "met", F.coalesce("root", "sid").alias("root")),
         "nodes-labelled")
-    pivot = F.max(F.struct("met", "sid", "size", "k0", "k1", "root")).alias("pivot")
-    several = own.groupBy("path").agg(
-        F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"), pivot
-    ).where("r0 < r1").select("path", "n", "pivot")
+    seen = ("met", "sid", "size", "k0", "k1")
+    parts = own.groupBy("path", "root").agg(
+        F.count("*").alias("c"), F.max(F.struct(*seen)).alias("p"))
+    several = parts.groupBy("path").agg(
+        F.sum("c").alias("n"), F.count("*").alias("parts"),
+        F.max(F.struct(*[f"p.{c}" for c in seen], "root", "c")).alias("pivot")).where(
+        "parts > 1").select("path", "n", "pivot", (F.col("n") - F.col("pivot.c")).alias("others"))
     return stage(own.join(several, "path"), "nodes-mixed")
 
 
+def _is_small(limit: int) -> Column:
+    return (F.col("n") <= limit) | (F.col("others") * F.col("n") <= limit * limit)
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     unlike = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}")))
@@ -249,37 +261,45 @@ def pivot_pairs(mixed: DataFrame, percent: int, leaf: int) -> DataFrame:
 
 
 def leaf_pairs(mixed: DataFrame, percent: int, limit: int, leaf: int) -> DataFrame:
-    """Pairs of the nodes of up to ``limit`` sets."""
-    small = mixed.where(F.col("n") <= limit).select(
-        "path", "n", F.struct("sid", "size", "k0", "k1", "root").alias("x"))
-    other = small.select("path", F.col("x").alias("y"))
-    return small.join(other, "path").where(
-        (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent)
+    """Pairs of the small nodes, as one side outside the pivot's component has to be."""
+    small = mixed.where(_is_small(limit)).select(
+        "path", "n", F.struct("sid", "size", "k0", "k1", "root").alias("x"),
+        (F.col("root") == F.col("pivot.root")).alias("main"))
+    every = small.select("path", F.col("x").alias("y"), F.col("main").alias("main_y"))
+    return small.where("NOT main").drop("main").join(every, "path").where(
+        (F.col("main_y") | (F.col("x.sid") < F.col("y.sid"))) & _may_link("x", "y", percent)
     ).select(*_pair("x", "y", leaf))
 
 
-def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """a, b, common: the size of the intersection of every pair of a unit."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            sets, pairs = batch.column("sets")[i].values, batch.column("pairs")[i].values
-            hashes = sets.field("hashes")
-            values = np.asarray(hashes.flatten())
-            ends = np.cumsum(np.asarray(hashes.value_lengths()))
-            place = {sid: k for k, sid in enumerate(sets.field("sid").to_pylist())}
-            full = [np.sort(v) for v in np.split(values, ends[:-1])]
-            a, b = np.asarray(pairs.field("a")), np.asarray(pairs.field("b"))
-            common = np.zeros(len(a), np.int64)
-            for one in np.unique(a).tolist():
-                mine, at = full[place[one]], np.flatnonzero(a == one)
-                for some in np.array_split(at, -(-len(at) // 64)):
-                    others = [full[place[x]] for x in b[some].tolist()]
-                    flat = np.concatenate(others)
-                    spot = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-                    starts = np.cumsum([0, *map(len, others)])[:-1]
-                    common[some] = np.add.reduceat((mine[spot] == flat).astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.array(common)], names=["a", "b", "common"])
+def check_units(units: DataFrame, percent: int) -> DataFrame:
+    """a, b, linked of every pair of a unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sets, pairs = batch.column("sets")[i].values, batch.column("pairs")[i].values
+                hashes = sets.field("hashes")
+                values = np.asarray(hashes.flatten())
+                ends = np.cumsum(np.asarray(hashes.value_lengths()))
+                place = {sid: k for k, sid in enumerate(sets.field("sid").to_pylist())}
+                full = [np.sort(v) for v in np.split(values, ends[:-1])]
+                a, b = np.asarray(pairs.field("a")), np.asarray(pairs.field("b"))
+                linked = np.zeros(len(a), bool)
+                order = np.argsort(a, kind="stable")
+                for at in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+                    mine = full[place[int(a[at[0]])]]
+                    for some in np.array_split(at, -(-len(at) // 64)):
+                        others = [full[place[x]] for x in b[some].tolist()]
+                        sizes = np.array([len(o) for o in others])
+                        flat = np.concatenate(others)
+                        spot = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                        starts = np.cumsum(sizes) - sizes
+                        common = np.add.reduceat((mine[spot] == flat).astype(np.int64), starts)
+                        linked[some] = 100 * common >= percent * (len(mine) + sizes - common)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(linked)], names=["a", "b", "linked"])
+
+    return units.mapInArrow(run, "a long, b long, linked boolean")
 
 
 def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -352,11 +372,7 @@ class Confirmed:
         held = new.select("unit", F.explode(F.array("a", "b")).alias("sid")).distinct().join(
             self.full, "sid").groupBy("unit").agg(
             F.collect_list(F.struct("sid", "hashes")).alias("sets"))
-        common = asked.join(held, "unit").mapInArrow(_common, "a long, b long, common long")
-        sizes = lambda side: self.sets.select(F.col("sid").alias(side), F.col("size").alias(f"size_{side}"))
-        union = F.col("size_a") + F.col("size_b") - F.col("common")
-        verdicts = stage(common.join(sizes("a"), "a").join(sizes("b"), "b").select(
-            "a", "b", (100 * F.col("common") >= self.percent * union).alias("linked")), "pairs-checked")
+        verdicts = stage(check_units(asked.join(held, "unit"), self.percent), "pairs-checked")
         self.checked = self.checked.union(verdicts)
         self._merge(verdicts.where("linked").select("a", "b"))
 
@@ -410,8 +426,8 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     depth = 1
     while not mixed.isEmpty():
         mixed = _mixed(mixed, facts, known.roots)
-        limit = leaf if depth < DEEPEST else 1 << 62
-        pairs, large = leaf_pairs(mixed, percent, limit, leaf), mixed.where(F.col("n") > limit)
+        limit = leaf if depth < DEEPEST else 1 << 31
+        pairs, large = leaf_pairs(mixed, percent, limit, leaf), mixed.where(~_is_small(limit))
         if large.isEmpty():
             known.add(pairs)
             break
