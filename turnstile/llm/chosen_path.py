@@ -23,7 +23,7 @@ fixed size over text hashes and then joined by the set's 128-bit digest.
 Defined results: A-Z is lower-cased, words are runs of other characters than space and
 control-range white space; a text with fewer words than a shingle is one shingle of them all;
 null, empty and wordless texts have no shingle and link with nothing. Shingles are told apart by
-64-bit hashes, sets by 128-bit ones. Repeated rows are copies of each other; a null id joins its
+64-bit hashes, those of the two sets of a pair by ``HASH_BYTES`` bytes of them, sets by 128-bit ones. Repeated rows are copies of each other; a null id joins its
 component but never names it (a component of null ids only has a null id). Only the two named
 columns are read. An empty table gives an empty result.
 """
@@ -56,6 +56,7 @@ MOST_UNLIKE_BITS = 30
 SLICE_BYTES = 1 << 20
 BITMAP_BITS = 1 << 25
 SEEN_TEXTS = 100_000
+HASH_BYTES = 6
 SEED = 11
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,6 +134,28 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(bits).view("<i8")
 
 
+def _is_new(seen: dict, key: object) -> bool:
+    """Whether ``key`` is not among the last ``SEEN_TEXTS`` different ones, which it joins."""
+    if key in seen:
+        return False
+    if len(seen) >= SEEN_TEXTS:
+        seen.pop(next(iter(seen)))
+    seen[key] = None
+    return True
+
+
+def _packed(sets: list[np.ndarray]) -> pa.Array:
+    """The low ``HASH_BYTES`` bytes of every hash, as one binary value per set."""
+    return pa.array([s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+                     for s in sets], pa.binary())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // HASH_BYTES, 8), np.uint8)
+    wide[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
+    return np.sort(wide.view("<u8").ravel())
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([row.tobytes() for row in rows], pa.binary())
 
@@ -150,23 +173,29 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signed_rows(source: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, d0, d1 (digest of the set), tokens (minwise), k0, k1."""
+    """doc_id, text_hash, n_shingles, d0, d1 (digest of the set), tokens (minwise), k0, k1, fresh.
+
+    The first row of a set in its task is always fresh, most later ones are not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple[int, int], None] = {}
         for part in slices(batches, limit=SLICE_BYTES):
             sets = [token_set(raw, words) for raw in raw_texts(part)]
             tokens = minwise(sets)
             digest, bits = _digests(sets), sketches(tokens)
+            fresh = [_is_new(seen, (d0, d1)) for d0, d1 in digest.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_hash"),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0]),
                  pa.array(digest[:, 1]), _binary(tokens), pa.array(bits[:, 0].copy()),
-                 pa.array(bits[:, 1].copy())],
-                names=["doc_id", "text_hash", "n_shingles", "d0", "d1", "tokens", "k0", "k1"])
+                 pa.array(bits[:, 1].copy()), pa.array(fresh)],
+                names=["doc_id", "text_hash", "n_shingles", "d0", "d1", "tokens", "k0", "k1",
+                       "fresh"])
 
     id_type = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {id_type}, text_hash long, n_shingles long, d0 long, "
-                                  "d1 long, tokens binary, k0 long, k1 long")
+                                  "d1 long, tokens binary, k0 long, k1 long, fresh boolean")
 
 
 def _token_matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -222,9 +251,8 @@ def _mixed(nodes: DataFrame, facts: DataFrame, roots: DataFrame) -> DataFrame:
 
     ``others`` counts the sets of the node outside the pivot's component.
     """
-    own = stage(nodes.select("sid", "path").join(facts, "sid").join(roots, "sid", "left").select(
-        "path", "sid", "size", "k0", "k1", "met", F.coalesce("root", "sid").alias("root")),
-        "nodes-labelled")
+    own = nodes.select("sid", "path").join(facts, "sid").join(roots, "sid", "left").select(
+        "path", "sid", "size", "k0", "k1", "met", F.coalesce("root", "sid").alias("root"))
     seen = ("met", "sid", "size", "k0", "k1")
     parts = own.groupBy("path", "root").agg(
         F.count("*").alias("c"), F.max(F.struct(*seen)).alias("p"))
@@ -278,11 +306,8 @@ def check_units(units: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 sets, pairs = batch.column("sets")[i].values, batch.column("pairs")[i].values
-                hashes = sets.field("hashes")
-                values = np.asarray(hashes.flatten())
-                ends = np.cumsum(np.asarray(hashes.value_lengths()))
                 place = {sid: k for k, sid in enumerate(sets.field("sid").to_pylist())}
-                full = [np.sort(v) for v in np.split(values, ends[:-1])]
+                full = [_unpacked(raw) for raw in sets.field("hashes").to_pylist()]
                 a, b = np.asarray(pairs.field("a")), np.asarray(pairs.field("b"))
                 linked = np.zeros(len(a), bool)
                 order = np.argsort(a, kind="stable")
@@ -323,24 +348,18 @@ def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             hit = bitmap[place // 8] >> (place % 8).astype(np.uint8) & 1
             fresh = []
             for i in np.flatnonzero(hit).tolist():
-                if int(hashes[i]) not in seen:
-                    if len(seen) >= SEEN_TEXTS:
-                        seen.pop(next(iter(seen)))
-                    seen[int(hashes[i])] = None
+                if _is_new(seen, int(hashes[i])):
                     fresh.append(i)
             chosen = batch.take(pa.array(fresh, pa.int64()))
             for part in slices(iter([chosen]), limit=SLICE_BYTES):
                 sets = [token_set(raw, words) for raw in raw_texts(part)]
                 digest = _digests(sets)
-                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                              pa.array(np.concatenate(sets).view(np.int64)))],
-                    names=["d0", "d1", "hashes"])
+                     _packed(sets)], names=["d0", "d1", "hashes"])
 
     made = source.select("text", "text_hash").mapInArrow(
-        run, "d0 long, d1 long, hashes array<long>")
+        run, "d0 long, d1 long, hashes binary")
     return made.join(wanted.select("sid", "d0", "d1"), ["d0", "d1"]).select(
         "sid", "hashes").dropDuplicates(["sid"])
 
@@ -351,7 +370,7 @@ class Confirmed:
     def __init__(self, source: DataFrame, sets: DataFrame, words: int, percent: int):
         self.source, self.sets, self.words, self.percent = source, sets, words, percent
         spark = source.sparkSession
-        self.full = spark.createDataFrame([], "sid long, hashes array<long>")
+        self.full = spark.createDataFrame([], "sid long, hashes binary")
         self.checked = spark.createDataFrame([], "a long, b long, linked boolean")
         self.roots = spark.createDataFrame([], "sid long, root long")
 
@@ -410,14 +429,16 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable)."""
     source = _source(docs, doc_id, text)
     branching = Branching.at(percent)
-    rows = stage(signed_rows(source, words), "signed-rows")
+    rows = stage(signed_rows(source, words).select(
+        F.monotonically_increasing_id().alias("row"), "*"), "signed-rows")
     sets = stage(rows.where("n_shingles > 0").groupBy("d0", "d1").agg(
-        F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"),
-        F.first("k0").alias("k0"), F.first("k1").alias("k1"),
-        F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("low_id")).select(
-        F.monotonically_increasing_id().alias("sid"), "*"), "distinct-sets")
-    nodes = stage(_crowded(stage(first_nodes(sets, trees_for(recall), branching), "first-nodes")),
-                  "crowded-nodes")
+        F.min("row").alias("sid"), F.first("n_shingles").alias("size"), F.first("k0").alias("k0"),
+        F.first("k1").alias("k1"), F.min("text_hash").alias("text_hash"),
+        F.min("doc_id").alias("low_id")), "distinct-sets")
+    # A set goes by its first row, which is fresh: minwise tokens stay where they were made.
+    signed = rows.where("n_shingles > 0 AND fresh").select(F.col("row").alias("sid"), "tokens")
+    nodes = stage(_crowded(first_nodes(signed, trees_for(recall), branching)).join(
+        sets.select("sid"), "sid", "left_semi"), "crowded-nodes")
     met = nodes.groupBy("sid").agg(F.sum("n").alias("met"))
     facts = stage(sets.select("sid", "size", "k0", "k1").join(met, "sid"), "set-facts")
     known = Confirmed(source, sets, words, percent)
@@ -431,7 +452,7 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if large.isEmpty():
             known.add(pairs)
             break
-        below = stage(next_nodes(large, sets, branching), "next-nodes")
+        below = stage(next_nodes(large, signed, branching), "next-nodes")
         mixed, depth = _mixed(_crowded(below), facts, known.roots), depth + 1
         known.add(pairs.union(pivot_pairs(mixed, percent, leaf)))
     rooted = stage(sets.select("sid", "d0", "d1", "low_id").join(
