@@ -32,6 +32,14 @@ from turnstile.schemas import raw_schema
 from turnstile.session import scratch_root, stage
 from turnstile.sources import bronze, manifest, tables
 from turnstile.sources.arrays import read_arrays
+from turnstile.sources.summaries import (
+    coverage_of,
+    null_counts_of,
+    read_summaries,
+    row_counts_of,
+    save_summaries,
+    summarise,
+)
 
 # Shapes of date text by event type; zones by user.
 DATE_TEXT = """
@@ -478,6 +486,55 @@ def fresh(lake, label: str) -> str:
     return f"{scratch_root(lake.spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def kept_summaries(lake, *tables) -> DataFrame:
+    """Stored summaries of (table, entity, snapshot) each; the tables are not read again."""
+    root = fresh(lake, "summaries")
+    for df, entity, snapshot in tables:
+        save_summaries(summarise(df, entity, snapshot), root)
+    return read_summaries(lake.spark, root)
+
+
+@query("a28_coverage_of_snapshots", """
+    SELECT path, filled, filled / n AS fill_rate FROM (SELECT count(*) AS n,
+      unnest(['id', 'buyer.key', 'buyer.clerk', 'total']) AS path,
+      unnest([count(o_orderkey), count(*) FILTER (o_custkey % 3 > 0),
+        count(*) FILTER (o_custkey % 3 > 0 AND o_orderstatus = 'F'),
+        count(*) FILTER (o_totalprice > 100000)]) AS filled FROM orders)""")
+def _(lake):
+    # One snapshot per order month, summarised once; coverage over all months only merges.
+    orders = lake.sql("""
+        SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 > 0 THEN named_struct('key', o_custkey,
+          'clerk', CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) END AS buyer,
+          CASE WHEN o_totalprice > 100000 THEN CAST(o_totalprice AS DOUBLE) END AS total,
+          date_format(o_orderdate, 'yyyyMM') AS month FROM {orders}""")
+    return coverage_of(kept_summaries(lake, (orders, "orders", F.col("month"))).where(
+        "path <> 'month'"))
+
+
+@query("dq1_null_counts_of_snapshots", """
+    SELECT field, null_count, null_count = 0 AS passed FROM (
+      SELECT unnest(['contact_id', 'event_id', 'order_number']) AS field,
+        unnest([count(*) FILTER (contact_id IS NULL), count(*) FILTER (event_id IS NULL),
+          count(*) FILTER (order_number IS NULL)]) AS null_count FROM t_guest)""", "t_guest")
+def _(lake):
+    guests = lake.t_guest.select("contact_id", "event_id", "order_number", "guest_type")
+    kept = kept_summaries(lake, (guests, "guests", F.col("guest_type")))
+    return null_counts_of(kept, ["contact_id", "event_id", "order_number"])
+
+
+@query("dq2_changes_of_snapshots", """
+    WITH m AS (SELECT event_type AS entity, substring(CAST(ts AS VARCHAR), 1, 10) AS snapshot_id,
+        count(*) AS row_count FROM events GROUP BY 1, 2),
+    p AS (SELECT *, lag(row_count) OVER (PARTITION BY entity ORDER BY snapshot_id) AS previous
+        FROM m)
+    SELECT *, (row_count - previous) / previous AS change,
+      abs((row_count - previous) / previous) < 0.1 AS passed FROM p WHERE previous IS NOT NULL""")
+def _(lake):
+    day = F.substring(F.col("ts").cast("string"), 1, 10)
+    kept = kept_summaries(lake, (lake.events.select("event_type", "ts"), F.col("event_type"), day))
+    return quality.row_count_changes(row_counts_of(kept))
+
+
 @query("s1_s2_bronze_roundtrip", """
     SELECT CAST(c_custkey AS VARCHAR) AS member_id, lower(c_name) AS login_email,
       CAST(NULL AS VARCHAR) AS corrupt, '20260211_143022' AS run_id FROM customer""")

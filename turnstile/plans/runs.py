@@ -18,6 +18,7 @@ from turnstile.schemas import raw_schema
 from turnstile.session import stage as staged
 from turnstile.sources.bronze import bronze_read, resolve_snapshots, snapshot_ids, snapshot_list
 from turnstile.sources.manifest import RunManifest
+from turnstile.sources.summaries import save_summaries, summarise
 from turnstile.sources.tables import table_read, table_write
 
 FLATTENERS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -87,9 +88,12 @@ def build_flat_tables(
     spark: SparkSession, raw_root: str, table_root: str, snapshot: str,
     entities: list[str] | None = None, array_files: bool = False,
     manifest: RunManifest | None = None, names: dict[str, dict[str, str]] | None = None,
+    summary_root: str | None = None,
 ) -> RunManifest:
     """Flatten the entities of one snapshot. A failing entity is recorded, others go on.
 
+    With ``summary_root`` every written table is summarised there (``sources.summaries``).
+
     Records that do not parse go to the table ``rejects_<entity>`` with their text, and their
     number to the manifest. ``names`` gives the source's field names per entity.
     """
@@ -124,6 +128,9 @@ def build_flat_tables(
                 for name, flat in others:
                     extra[name] = table_write(flat, table_root, name, snapshot)
                 path = table_write(stage.counted(main[1]), table_root, main[0], snapshot)
+                for name in [main[0], *(n for n, _ in others)] if summary_root else []:
+                    save_summaries(summarise(
+                        table_read(spark, table_root, name, snapshot), name, snapshot), summary_root)
                 stage.record(raw_path=f"{raw_root}/{entity}", table_path=path, extra_paths=extra)
         except Exception:  # noqa: BLE001 - recorded in the manifest
             continue
@@ -178,7 +185,7 @@ def run_snapshots(
 
 def backfill(
     spark: SparkSession, raw_root: str, table_root: str, start: str, end: str,
-    entities: list[str], array_files: bool = False,
+    entities: list[str], array_files: bool = False, summary_root: str | None = None,
 ) -> list[RunManifest]:
     """Bring every snapshot dated in [start, end) up to date with the raw data of ``entities``.
 
@@ -190,7 +197,8 @@ def backfill(
     flat, facts = out_of_date(entities)
     runs = []
     for i in ids:
-        run = build_flat_tables(spark, raw_root, table_root, i, flat, array_files)
+        run = build_flat_tables(spark, raw_root, table_root, i, flat, array_files,
+                                summary_root=summary_root)
         runs.append(build_facts(spark, table_root, i, run, facts=facts))
     return runs
 
