@@ -396,7 +396,7 @@ def _(lake):
         unnest([count(*) FILTER (contact_id IS NULL), count(*) FILTER (event_id IS NULL),
           count(*) FILTER (order_number IS NULL)]) AS null_count FROM t_guest)""", "t_guest")
 def _(lake):
-    return quality.null_counts(lake.t_guest, ["contact_id", "event_id", "order_number"])
+    return quality.null_counts(lake.once("t_guest"), ["contact_id", "event_id", "order_number"])
 
 
 @query("dq2_row_count_changes", """
@@ -439,7 +439,7 @@ def _(lake):
     SELECT contact_id, count(*) AS rows FROM t_guest
     WHERE contact_id NOT IN (SELECT contact_id FROM t_member) GROUP BY 1""", "t_guest t_member")
 def _(lake):
-    return quality.orphan_counts(lake.t_guest, lake.t_member, "contact_id")
+    return quality.orphan_counts(lake.once("t_guest"), lake.t_member, "contact_id")
 
 
 @query("dq5_future_dates", """
@@ -447,7 +447,7 @@ def _(lake):
       max(created_date) FILTER (created_date > '2001-06-01') AS latest,
       count(*) FILTER (created_date > '2001-06-01') = 0 AS passed FROM t_guest""", "t_guest")
 def _(lake):
-    return quality.future_dates(lake.t_guest, "created_date", "2001-06-01")
+    return quality.future_dates(lake.once("t_guest"), "created_date", "2001-06-01")
 
 
 @query("dq6_pseudonymize", """

@@ -1,7 +1,9 @@
 """How tables that grow with the data are joined."""
 
+from catalog.base import Lake
 from turnstile.operators import dims, headcount, orders
 from turnstile.session import stage
+from turnstile.sources import star
 
 
 def plan(df):
@@ -45,3 +47,18 @@ def test_stubs_are_counted_without_broadcast(spark):
     assert "Broadcast" not in plan(stubs) and "Broadcast" not in plan(counted)
     assert sorted((r["guest_id"], r["is_paid_ticket_stub"], r["counts_as_human"])
                   for r in counted.collect()) == [("g1", True, True), ("g2", False, False)]
+
+
+def test_guests_are_dealt_out_once(spark):
+    sf = "/root/testdata/sf0.001"
+    guests = star.entity(spark, sf, "t_guest").where("guest_type <> 'BUYER'").hint("merge")
+    text = plan(guests)
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "hashpartitioning(l_orderkey#" in text and "l_linenumber" not in "".join(
+        line for line in text.split("\n") if "Exchange" in line)
+
+
+def test_single_reads_leave_out_branches(spark):
+    lake = Lake(spark, "/root/testdata/sf0.001")
+    text = plan(lake.once("t_guest").where("guest_type = 'BUYER'").select("guest_id"))
+    assert "lineitem" not in text
