@@ -2,6 +2,7 @@
 
 from catalog.base import Lake
 from turnstile.operators import dims, headcount, orders
+from turnstile.plans import views
 from turnstile.session import stage
 from turnstile.sources import star
 
@@ -49,6 +50,40 @@ def test_stubs_are_counted_without_broadcast(spark):
                   for r in counted.collect()) == [("g1", True, True), ("g2", False, False)]
 
 
+def hot_guests(spark, n=30_000):
+    """Guests of whom most have contact ``0``."""
+    return spark.range(n).selectExpr(
+        "concat('g', id) AS guest_id", "IF(id % 10 < 9, '0', CAST(id AS STRING)) AS contact_id",
+        "CAST(id % 50 AS STRING) AS event_id", "id AS _ord", "sha2(CAST(id AS STRING), 256) AS pad")
+
+
+def test_hot_contact_is_split(spark):
+    contacts = spark.range(30_000).selectExpr(
+        "CAST(id AS STRING) AS contact_id", "concat('name ', id) AS full_name",
+        "'x@y' AS primary_email", "TRUE AS is_member", "id AS _ord")
+    events = spark.range(50).selectExpr(
+        "CAST(id AS STRING) AS event_id", "concat('event ', id) AS title", "'2024' AS start_date",
+        "'c' AS category_names", "id AS _ord")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        wide = views.guests_enriched(hot_guests(spark).repartition(8), contacts, events)
+        rows = wide.collect()
+        final = plan(wide)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in final
+    assert len(rows) == 30_000
+    assert all(r["contact_full_name"] == f"name {r['contact_id']}" for r in rows)
+
+
 def test_guests_are_dealt_out_once(spark):
     sf = "/root/testdata/sf0.001"
     guests = star.entity(spark, sf, "t_guest").where("guest_type <> 'BUYER'").hint("merge")
