@@ -1,6 +1,7 @@
 """How tables that grow with the data are joined."""
 
 from catalog.base import Lake
+from catalog.gold import payments_fact
 from turnstile.operators import dims, headcount, orders
 from turnstile.plans import views
 from turnstile.session import stage
@@ -97,3 +98,8 @@ def test_single_reads_leave_out_branches(spark):
     lake = Lake(spark, "/root/testdata/sf0.001")
     text = plan(lake.once("t_guest").where("guest_type = 'BUYER'").select("guest_id"))
     assert "lineitem" not in text
+
+
+def test_payments_are_joined_by_shuffle(spark):
+    lake = Lake(spark, "/root/testdata/sf0.001")
+    assert "Broadcast" not in plan(payments_fact(lake))
