@@ -295,3 +295,30 @@ def test_chat_round_trip(spark):
         assert learned == "".join(t for r, t in wanted if r == "assistant")
     none = turns.limit(0)
     assert chat_format.read_back(chat_format.format_conversations(none, BYTES_PATH)).collect() == []
+
+
+def test_language_model_learns_from_every_row(spark, monkeypatch):
+    """Each pass reads all training rows; the first already tells two kinds of text apart."""
+    rng = random.Random(3)
+    kinds = [[f"{k}{i}" for i in range(40)] for k in "ab"]
+    rows = [(i, " ".join(rng.choices(kinds[i % 2], k=60))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    read = spark.sparkContext.accumulator(0)
+    inner = lm_scoring.baum_welch_pass
+
+    def counted(source, *args, **named):
+        def see(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+        return inner(source.select("text").mapInArrow(see, "text string"), *args, **named)
+
+    monkeypatch.setattr(lm_scoring, "baum_welch_pass", counted)
+    assert not hasattr(lm_scoring, "sampled_segments")
+    vocabulary = lm_scoring.vocabulary_of(lm_scoring.count_words(docs))
+    model = lm_scoring.train(docs, vocabulary, 2)
+    assert read.value == 2 * len(rows)
+    steps = [(where.stop - where.start, which.stop - which.start)
+             for where, which in lm_scoring.in_steps(np.array([5] * 300))]
+    assert [b for _, b in steps] == [128, 128, 44] and sum(a for a, _ in steps) == 1500
+    assert np.abs(model.emit[:80].argmax(axis=1)).max() < lm_scoring.STATES

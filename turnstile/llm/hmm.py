@@ -34,6 +34,12 @@ class Counts:
     def zero(cls, symbols: int, states: int) -> Counts:
         return cls(np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states)))
 
+    def fade(self, share: float) -> None:
+        """Keep a share of all counts."""
+        self.start *= share
+        self.move *= share
+        self.emit *= share
+
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
         """(row numbers, rows): emissions by symbol, then moves, then starts."""
         used = np.flatnonzero(self.emit.any(axis=1))

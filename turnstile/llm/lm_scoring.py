@@ -7,10 +7,10 @@ count, with one share left for words never seen; the end of a text is a symbol t
 probability within the class does not depend on the state, the exact probability of a text is
 the forward probability of its symbols times those of its words within their classes.
 
-Training: word counts over all training texts (summed per task before the shuffle); a first
-guess from a bounded sample of segments (``GUESS_SEGMENTS``, starting values only); then
-``PASSES`` passes of Baum-Welch over all training texts. Each task adds up expected counts and
-Spark sums them over the partitions, so one row per symbol reaches the driver.
+Training: word counts over all training texts (summed per task before the shuffle); then
+``PASSES`` passes of Baum-Welch over all training texts, the first one with steps of
+``STEP_SEGMENTS`` segments within each task. Each task adds up expected counts and Spark sums
+them over the partitions, so one row per symbol reaches the driver. Nothing is sampled.
 Expected counts come from segments of ``SEGMENT`` tokens; likelihoods from whole texts.
 
 Counts of the most frequent words (``NEAR_WORDS`` at most, of ``NEAR_BYTES`` bytes at most) travel
@@ -52,8 +52,8 @@ NEAR_WORDS = 32_768
 NEAR_BYTES = 64
 STATES = 8
 SEGMENT = 256
-GUESS_SEGMENTS = 1500
-GUESS_ROUNDS = 15
+STEP_SEGMENTS = 128
+FADE = 0.8
 PASSES = 2
 COUNTER_WORDS = 300_000
 SCORE_BYTES = 3 << 20
@@ -198,39 +198,34 @@ def segments(raws: list[bytes], codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     return np.array(flat, np.int64), np.array(lengths, np.int64)
 
 
-def sampled_segments(docs: DataFrame, vocabulary: Vocabulary,
-                     n_segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """About ``n_segments`` segments, chosen by hashes of the text; starting values only."""
-    total = vocabulary.n_tokens / SEGMENT + vocabulary.end_count
-    share = min(1.0, 8 * n_segments / max(total, 1))
-    keep = min(1.0, n_segments / max(total * share, 1))
-    some = docs.where(F.expr(f"pmod(xxhash64(text), 1000003) < {int(share * 1000003) + 1}"))
+def in_steps(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Places of the codes and of the segments of every ``STEP_SEGMENTS`` segments."""
+    ends = np.cumsum(lengths)
+    for k in range(0, len(lengths), STEP_SEGMENTS):
+        last = min(k + STEP_SEGMENTS, len(lengths))
+        yield slice(ends[k] - lengths[k], ends[last - 1]), slice(k, last)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, symbols = Codes(vocabulary.near), vocabulary.symbol_of_code.astype(np.int32)
-        for part in slices(batches):
-            flat, lengths = segments(raw_texts(part), codes)
-            pieces = np.split(symbols[flat], np.cumsum(lengths)[:-1])
-            chosen = [p for p in pieces if len(p)
-                      and zlib.crc32(p.tobytes()) % 1_000_003 < keep * 1_000_003]
-            yield pa.RecordBatch.from_arrays([pa.array(chosen, pa.list_(pa.int32()))], names=["s"])
-
-    rows = some.select("text").mapInArrow(run, "s array<int>").orderBy(
-        F.xxhash64("s")).limit(2 * n_segments).toArrow().column("s").to_pylist()
-    return (np.array([x for row in rows for x in row], np.int64),
-            np.array([len(row) for row in rows], np.int64))
 
+def baum_welch_pass(docs: DataFrame, vocabulary: Vocabulary, model: Hmm,
+                    learning: bool = False) -> Hmm:
+    """One pass over all rows: expected counts per task, summed by Spark.
 
-def baum_welch_pass(docs: DataFrame, vocabulary: Vocabulary, model: Hmm) -> Hmm:
-    """One pass over all rows: expected counts per task, summed by Spark."""
+    A ``learning`` pass starts far from any optimum: a task goes on from what its rows so far have
+    taught it, and older counts fade within the task. All tasks start alike, so their states agree.
+    """
     names = [f"k{k}" for k in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, symbols = Codes(vocabulary.near), vocabulary.symbol_of_code
-        counts = Counts.zero(N_SYMBOLS, STATES)
+        counts, own = Counts.zero(N_SYMBOLS, STATES), model
         for part in slices(batches):
             flat, lengths = segments(raw_texts(part), codes)
-            expect(model, symbols[flat], lengths, counts)
+            for here, which in in_steps(lengths) if learning else [(slice(None), slice(None))]:
+                if learning:
+                    counts.fade(FADE)
+                expect(own, symbols[flat[here]], lengths[which], counts)
+                if learning:
+                    own = estimate(counts, vocabulary.prior)
         numbers, rows = counts.rows()
         yield pa.RecordBatch.from_arrays(
             [pa.array(numbers, pa.int64()), *(pa.array(rows[:, k]) for k in range(STATES))],
@@ -246,13 +241,8 @@ def baum_welch_pass(docs: DataFrame, vocabulary: Vocabulary, model: Hmm) -> Hmm:
 
 def train(docs: DataFrame, vocabulary: Vocabulary, passes: int = PASSES) -> Hmm:
     model = first_guess(vocabulary.prior, STATES)
-    flat, lengths = sampled_segments(docs, vocabulary, GUESS_SEGMENTS)
-    for _ in range(GUESS_ROUNDS if len(flat) else 0):
-        counts = Counts.zero(N_SYMBOLS, STATES)
-        expect(model, flat, lengths, counts)
-        model = estimate(counts, vocabulary.prior)
-    for _ in range(passes):
-        model = baum_welch_pass(docs, vocabulary, model)
+    for k in range(passes):
+        model = baum_welch_pass(docs, vocabulary, model, learning=k == 0)
     return model
 
 
