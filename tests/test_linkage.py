@@ -50,6 +50,32 @@ def test_best_match_is_never_missed(spark):
             for r in got} == want
 
 
+def test_names_alike_meet_in_subsequences_not_in_pairs(spark):
+    """No short pair is compared one by one; pairs around the limit of 33 letters lose nothing."""
+    rng = random.Random(3)
+    first, last = ["anna", "hanna", "ann", "annamaria"], ["barkoson", "markosen", "jarkoland", "barkoham"]
+
+    def name(longer):
+        text = f"{rng.choice(first)} {rng.choice(last)}" + "berg" * (longer and rng.randrange(3))
+        for _ in range(rng.randrange(5)):
+            i = rng.randrange(len(text))
+            text = text[:i] + rng.choice(["", rng.choice("aeorn")]) + text[i + rng.randrange(2):]
+        return " ".join(text.split())
+
+    for longer in (False, True):
+        target = {f"t{i:03d}": name(longer) for i in range(120)}
+        source = {f"s{i:03d}": name(longer) for i in range(120)}
+        schema = "email string, full_name string"
+        frames = [spark.createDataFrame(list(x.items()), schema) for x in (source, target)]
+        got = {r["source_email"]: (r["target_email"], round(r["match_score"], 6))
+               for r in crossover_fuzzy(*frames).collect()}
+        best = {s: min((-score(x, y), t) for t, y in target.items()) for s, x in source.items()}
+        assert got == {s: (t, round(-m, 6)) for s, (m, t) in best.items() if -m >= 85}
+        short = [spark.createDataFrame([(x,) for x in set(d.values()) if len(x) <= 16], "text string")
+                 for d in (source, target)]
+        assert linkage.candidate_pairs(*short, 85).isEmpty()
+
+
 def test_event_pairs_are_counted_from_sets(spark):
     """Repeated rows, null events and e-mails, and many people with the same events."""
     rng = random.Random(11)

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnstile.functions.similarity import indel_ratio, sorted_tokens
 from turnstile.functions.text import normalize_email, normalize_name
-from turnstile.session import stage
+from turnstile.session import by_key, stage
 
 MOST_COLUMNS = 10_000
+MOST_EDITS = 4
 
 
 def normalize_people(df: DataFrame) -> DataFrame:
@@ -127,8 +128,67 @@ def _cut(text_length: Column, i: Column, pieces: Column) -> Column:
     return F.floor(i * text_length / pieces).cast("int")
 
 
+def _short_pairs(t: float) -> int:
+    """Largest total length at which similarity t allows ``MOST_EDITS`` edits at most."""
+    if t >= 1:
+        return 1 << 30
+    total = int((MOST_EDITS + 1) / (1 - t)) + 1
+    while int(total * (1 - t) + 1e-9) > MOST_EDITS:
+        total -= 1
+    return total
+
+
+def _subsequences(texts: DataFrame, t: float) -> DataFrame:
+    """``texts`` with every subsequence (``v``) that a short pair at similarity t may have in common.
+
+    Each step deletes one character at or after the place of the last one, or stops for good.
+    """
+    length, room = F.length("text"), F.length("v") + 1
+    deleted, p = length - F.length("v"), F.col("p")
+    fits = lambda d: (d <= (2 * length - d) * F.lit(1 - t) + F.lit(1e-9)) & (length > d)
+    short = 2 * length - MOST_EDITS <= _short_pairs(t)
+    # A fixed number of partitions, as AQE would merge the texts into few before they grow.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = texts.where(short).repartition(tasks).withColumns({"v": F.col("text"), "at": F.lit(1)})
+    for _ in range(MOST_EDITS):
+        first = F.when(fits(deleted + 1), F.col("at")).otherwise(room)
+        out = out.withColumn("p", F.explode(F.sequence(first, room))).withColumns({
+            "v": F.when(p < room, F.concat(
+                F.substring("v", F.lit(1), p - 1), F.substring("v", p + 1, length)))
+            .otherwise(F.col("v")),
+            "at": p})
+    return out.where(2 * length - deleted <= _short_pairs(t)).drop("at", "p")
+
+
+def best_of_short_pairs(source: DataFrame, target: DataFrame, threshold: float) -> DataFrame:
+    """text, score, best: the best ``target`` (text, best) of every source text, among the pairs of
+    ``_short_pairs`` at most.
+
+    Two texts have their longest common subsequence in common as what is left after a few
+    deletions. Of the target texts of one length that leave the same, only the first counts, so
+    every subsequence of a source text meets one row per length, however many names are alike.
+    """
+    t = threshold / 100
+    kept = _subsequences(target.select("text", "best"), t).select(
+        "v", F.length("text").alias("lb"), "best")
+    kept = kept.repartition("v").groupBy("v", "lb").agg(F.min("best").alias("best"))
+    total = F.length("text") + F.col("lb")
+    score = F.lit(200.0) * F.length("v") / total
+    pairs = _subsequences(source.select("text"), t).join(by_key(kept), "v").where(
+        total <= _short_pairs(t)).select("text", score.alias("score"), "best")
+    return _best(pairs.where(F.col("score") >= threshold))
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """text, score, best: the highest score of every text, then the first target."""
+    return scored.groupBy("text").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "best")).alias("m")).select(
+        "text", (-F.col("m.s")).alias("score"), F.col("m.best").alias("best"))
+
+
 def candidate_pairs(source: DataFrame, target: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of distinct texts (``a``, ``b``) that may reach the threshold; none is missed.
+    """Pairs of distinct texts (``a``, ``b``) longer than ``_short_pairs`` that may reach the
+    threshold; none is missed.
 
     With at most k edits, one of k + 1 pieces of ``b`` survives unchanged in ``a``, shifted
     by a bounded distance. So pieces of ``b`` are joined to the substrings of ``a`` at the
@@ -140,6 +200,7 @@ def candidate_pairs(source: DataFrame, target: DataFrame, threshold: float) -> D
     lb, la = F.col("lb"), F.col("la")
     tgt = target.select(F.col("text").alias("b"), F.length("text").alias("lb"))
     low, high = _bounds(lb, t)
+    tgt = tgt.where(lb + high > _short_pairs(t))
     counts = F.array_distinct(F.transform(
         F.sequence(low, high), lambda n: _edits(n + F.col("lb"), t) + 1))
     tgt = tgt.where(low <= high).select("*", F.explode(counts).alias("m"))
@@ -150,6 +211,7 @@ def candidate_pairs(source: DataFrame, target: DataFrame, threshold: float) -> D
     src = source.select(F.col("text").alias("a"), F.length("text").alias("la"))
     low, high = _bounds(la, t)
     src = src.where(low <= high).select("*", F.explode(F.sequence(low, high)).alias("lb"))
+    src = src.where(la + lb > _short_pairs(t))
     src = src.withColumn("k", _edits(la + lb, t)).withColumn("m", F.col("k") + 1)
     src = src.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
     start, end = _cut(lb, F.col("i"), F.col("m")), _cut(lb, F.col("i") + 1, F.col("m"))
@@ -171,7 +233,8 @@ def crossover_fuzzy(source: DataFrame, target: DataFrame, threshold: float = 85)
 
     Names compare by their sorted tokens. Among equal scores the name of the smallest
     target e-mail wins. Work runs over distinct names; names whose sorted tokens are equal
-    score 100 by a plain equi-join and skip the candidate search.
+    score 100 by a plain equi-join and skip the search. Short pairs meet in common subsequences;
+    only longer ones are compared as candidates.
     """
     tokens = sorted_tokens(F.col("full_name"))
     people = source.where(F.length(F.trim("full_name")) > 0).select(
@@ -184,13 +247,13 @@ def crossover_fuzzy(source: DataFrame, target: DataFrame, threshold: float = 85)
     rest = names.join(known.select("text"), "text", "left_anti")
     scored = candidate_pairs(rest, known, threshold).withColumn(
         "score", indel_ratio(F.col("a"), F.col("b")))
-    near = (
+    long = (
         scored.where(F.col("score") >= threshold)
         .join(known.withColumnRenamed("text", "b"), "b")
-        .groupBy(F.col("a").alias("text"))
-        .agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("best").alias("best"))).alias("m"))
-        .select("text", (-F.col("m.s")).alias("match_score"), F.col("m.best").alias("best"))
+        .select(F.col("a").alias("text"), "score", "best")
     )
+    near = _best(best_of_short_pairs(rest, known, threshold).unionByName(long))
+    near = near.withColumnRenamed("score", "match_score")
     found = same.unionByName(near)
     return people.join(found, "text").select(
         F.col("full_name").alias("source_name"), F.col("email").alias("source_email"),
