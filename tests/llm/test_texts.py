@@ -170,6 +170,27 @@ def test_forward_equals_sum_over_paths():
         at += n
 
 
+def test_hmm_steps_are_laid_out_in_rows_and_rare_symbols_do_not_underflow():
+    rng = np.random.default_rng(5)
+    lengths = np.array([3, 1, 40, 7])
+    symbols = rng.integers(0, 4, lengths.sum())
+    order, active, at, stepwise = hmm._in_step(symbols, lengths)
+    texts = np.split(symbols, np.cumsum(lengths)[:-1])
+    for t, (n, k) in enumerate(zip(active, at, strict=True)):
+        assert [texts[i][t] for i in order[:n]] == stepwise[k:k + n].tolist()
+
+    model = random_hmm(rng, 4, 3)
+    rare = hmm.Hmm(model.start, model.move, model.emit * 1e-25)
+    assert np.allclose(hmm.log10_likelihoods(rare, symbols, lengths),
+                       hmm.log10_likelihoods(model, symbols, lengths) - 25 * lengths)
+    counts, same = hmm.Counts.zero(4, 3), hmm.Counts.zero(4, 3)
+    hmm.expect(rare, symbols, lengths, counts)
+    hmm.expect(model, symbols, lengths, same)
+    assert np.allclose(counts.emit, same.emit) and np.allclose(counts.move, same.move)
+    assert np.isclose(counts.start.sum(), 4) and np.isclose(counts.move.sum(), lengths.sum() - 4)
+    assert np.allclose(counts.emit.sum(axis=1), np.bincount(symbols, minlength=4))
+
+
 def test_baum_welch_raises_the_likelihood():
     rng = np.random.default_rng(1)
     lengths = np.array([30, 12, 50, 1])
