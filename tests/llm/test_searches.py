@@ -154,6 +154,53 @@ def test_chosen_path_hot_group(spark, leaf):
     assert joined(docs, leaf=leaf) == components(rows)
 
 
+def test_chosen_path_makes_no_rows_of_pairs(spark, monkeypatch):
+    """Many texts close to one, of which most just miss the threshold: rows follow the sets."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(1000, " ".join(base))]
+    for i in range(300):
+        words = list(base)
+        for at in (10, 45, 80)[:3 if i % 10 else 1]:
+            words[at + rng.randrange(30)] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    staged, stage = {}, chosen_path.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        staged[label] = max(staged.get(label, 0), out.count())
+        return out
+    monkeypatch.setattr(chosen_path, "stage", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(docs) == components(rows)
+    assert max(staged.values()) <= 40 * len(rows), staged
+
+
+def test_sets_without_company_are_left_out(spark, monkeypatch):
+    """Texts that share half of their shingles meet in nodes, but are no candidates."""
+    wanted, full_sets = [], chosen_path.full_sets
+
+    def counted(source, sets, words):
+        wanted.append(sets.count())
+        return full_sets(source, sets, words)
+    monkeypatch.setattr(chosen_path, "full_sets", counted)
+    same = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*same[:60], *(f"y{i}-{k}" for k in range(90))])) for i in range(80)]
+    rows += [(100, " ".join(same)), (101, " ".join([*same[:149], "z"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(docs) == components(rows)
+    assert sum(wanted) == 2
+
+
+def test_least_common():
+    """Against the binomial tail."""
+    tail = lambda n, t: sum(math.comb(n, k) * .85**k * .15**(n - k) for k in range(t))
+    for n in (1, 8, 32, 128):
+        t = chosen_path.least_common([1] * n, 85)
+        assert tail(n, t) <= chosen_path.LOSS < tail(n, t + 1)
+    assert chosen_path.least_common([2] * 16, 85) <= 2 * chosen_path.least_common([1] * 16, 85)
+
+
 def test_deepest_nodes_are_compared_whole(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "DEEPEST", 1)
     base = [f"w{i}" for i in range(100)]

@@ -7,15 +7,21 @@ sets in one node; a node chooses each coordinate with probability 1 / (similarit
 and minwise token. So two linked sets are expected to share one child at least, unlike ones part
 quickly. ``trees_for`` independent trees reach the target recall.
 
-Nodes of up to ``LEAF_SETS`` sets are compared exhaustively. In every node the set that most
-others meet somewhere (the pivot) is compared with all, and sets already known to be of one
-component are not compared again; nodes within one component are done. A group of near copies
-thus costs a comparison per member, not per pair, and only nodes that mix components branch on.
-A larger node counts as small too if the sets outside its pivot's component, times all its sets,
-are no more comparisons than a node of ``LEAF_SETS`` may take.
-Pairs whose sizes or 128-bit minwise sketches rule them out are skipped; the sketch loses a
-linked pair with probability below 1e-7. All others are confirmed on the full sets, in units of up
-to twice ``LEAF_SETS`` sets that hold each set once however many pairs it is in.
+Two linked sets meet in most of the nodes below the roots. A set that has company in too few of
+them to link with any other (``least_common``) is left out before anything is compared.
+
+Nodes of up to ``leaf`` sets are compared whole, each as one row, by minwise tokens in NumPy; pairs
+never are rows. A pair that meets in several such nodes is taken in the first one only. In
+larger nodes the set that most others meet somewhere (the pivot) is compared with all, sets
+already known to be of one component are not compared again, nodes within one component are done
+and only those that mix components branch on. A group of near copies thus costs a comparison
+per member, not per pair. A larger node also counts as small if the sets outside its pivot's
+component, times all its sets, are no more comparisons than a node of ``leaf`` may take, and it
+has ``WIDEST_LEAF`` times as many sets at most; its parts are compared two by two.
+Pairs whose sizes, 128-bit sketches or minwise tokens rule them out are skipped; each filter loses
+a linked pair with probability below 1e-7. All others are confirmed on the full sets, in
+units of up to twice ``CHECK_SETS`` sets that hold each set once however many pairs it is in, and
+pairs already connected within their unit are not confirmed.
 
 Full sets are made only for candidates: a second pass over the texts is thinned by a bitmap of
 fixed size over text hashes and then joined by the set's 128-bit digest.
@@ -23,9 +29,10 @@ fixed size over text hashes and then joined by the set's 128-bit digest.
 Defined results: A-Z is lower-cased, words are runs of other characters than space and
 control-range white space; a text with fewer words than a shingle is one shingle of them all;
 null, empty and wordless texts have no shingle and link with nothing. Shingles are told apart by
-64-bit hashes, those of the two sets of a pair by ``HASH_BYTES`` bytes of them, sets by 128-bit ones. Repeated rows are copies of each other; a null id joins its
-component but never names it (a component of null ids only has a null id). Only the two named
-columns are read. An empty table gives an empty result.
+64-bit hashes, those of the two sets of a pair by ``HASH_BYTES`` bytes of them, sets by 128-bit
+ones. Repeated rows are copies of each other; a null id joins its component but never names it (a
+component of null ids only has a null id). Only the two named columns are read. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +44,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm.batches import raw_texts, slices
@@ -50,9 +57,13 @@ PERCENT = 85
 RECALL = 0.9999
 USUAL_DEPTH = 3
 COORDINATES = 128
-LEAF_SETS = 512
+LEAF_SETS = 4096
+WIDEST_LEAF = 4
+CHECK_SETS = 256
 DEEPEST = 48
+LOSS = 1e-7
 MOST_UNLIKE_BITS = 30
+OWNERS = 62
 SLICE_BYTES = 1 << 20
 BITMAP_BITS = 1 << 25
 SEEN_TEXTS = 100_000
@@ -85,6 +96,16 @@ def trees_for(recall: float, depth: int = USUAL_DEPTH) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - alive))
 
 
+def least_common(weights: list[int], percent: int) -> int:
+    """The smallest weight of agreeing coordinates that linked sets miss with probability ``LOSS``
+    at most, if each coordinate agrees with probability ``percent`` / 100 on its own."""
+    alike = percent / 100
+    chance = np.ones(1)
+    for w in weights:
+        chance = np.pad(chance * (1 - alike), (0, w)) + np.pad(chance * alike, (w, 0))
+    return int(np.searchsorted(np.cumsum(chance), LOSS, side="right"))
+
+
 class Branching(NamedTuple):
     """Choice of coordinates by path: a threshold on a hash."""
 
@@ -134,6 +155,11 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(bits).view("<i8")
 
 
+def _brief(tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    full = np.ascontiguousarray(tokens[:, firsts].astype("<u4")).view(np.uint8)
+    return np.concatenate((full.reshape(len(tokens), -1), tokens.astype(np.uint8)), axis=1)
+
+
 def _is_new(seen: dict, key: object) -> bool:
     """Whether ``key`` is not among the last ``SEEN_TEXTS`` different ones, which it joins."""
     if key in seen:
@@ -172,8 +198,9 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                        F.xxhash64(whole).alias("text_hash"))
 
 
-def signed_rows(source: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, d0, d1 (digest of the set), tokens (minwise), k0, k1, fresh.
+def signed_rows(source: DataFrame, words: int, firsts: np.ndarray) -> DataFrame:
+    """doc_id, text_hash, n_shingles, d0, d1 (digest of the set), tokens (minwise), brief (the
+    tokens of the coordinates ``firsts``, then the low byte of all), k0, k1, fresh.
 
     The first row of a set in its task is always fresh, most later ones are not.
     """
@@ -188,14 +215,14 @@ def signed_rows(source: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_hash"),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0]),
-                 pa.array(digest[:, 1]), _binary(tokens), pa.array(bits[:, 0].copy()),
-                 pa.array(bits[:, 1].copy()), pa.array(fresh)],
-                names=["doc_id", "text_hash", "n_shingles", "d0", "d1", "tokens", "k0", "k1",
-                       "fresh"])
+                 pa.array(digest[:, 1]), _binary(tokens), _binary(_brief(tokens, firsts)),
+                 pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()), pa.array(fresh)],
+                names=["doc_id", "text_hash", "n_shingles", "d0", "d1", "tokens", "brief", "k0",
+                       "k1", "fresh"])
 
     id_type = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {id_type}, text_hash long, n_shingles long, d0 long, "
-                                  "d1 long, tokens binary, k0 long, k1 long, fresh boolean")
+                                  "d1 long, tokens binary, brief binary, k0 long, k1 long, fresh boolean")
 
 
 def _token_matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -204,7 +231,7 @@ def _token_matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def first_nodes(sets: DataFrame, trees: int, branching: Branching) -> DataFrame:
-    """sid, path: every set in the children of every root."""
+    """sid, path, j: every set in the children of every root, which ``j`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = numbered(trees, SEED + 4)
@@ -217,9 +244,11 @@ def first_nodes(sets: DataFrame, trees: int, branching: Branching) -> DataFrame:
                                            np.broadcast_to(coordinate, some.shape), some)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(sid[at:at + 4096], len(tree))),
-                     pa.array(paths.ravel().view(np.int64))], names=["sid", "path"])
+                     pa.array(paths.ravel().view(np.int64)),
+                     pa.array(np.tile(np.arange(len(tree), dtype=np.int16), len(some)))],
+                    names=["sid", "path", "j"])
 
-    return sets.select("sid", "tokens").mapInArrow(run, "sid long, path long")
+    return sets.select("sid", "tokens").mapInArrow(run, "sid long, path long, j short")
 
 
 def next_nodes(nodes: DataFrame, sets: DataFrame, branching: Branching) -> DataFrame:
@@ -243,7 +272,33 @@ def next_nodes(nodes: DataFrame, sets: DataFrame, branching: Branching) -> DataF
 def _crowded(nodes: DataFrame) -> DataFrame:
     """Nodes with several sets, with their number."""
     sizes = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-    return nodes.join(sizes, "path").select("sid", "path", "n")
+    return nodes.drop("n").join(sizes, "path")
+
+
+def _sociable(nodes: DataFrame, least: int) -> DataFrame:
+    """The rows of sets that are in ``least`` nodes at least."""
+    return nodes.withColumn("meets", F.count("*").over(Window.partitionBy("sid"))).where(
+        F.col("meets") >= least).drop("meets")
+
+
+def likely_nodes(signed: DataFrame, sets: DataFrame, trees: int, branching: Branching,
+                 percent: int, leaf: int) -> DataFrame:
+    """sid, path, j, n, size, k0, k1, met, mask: the first nodes, without sets that link with none.
+
+    Two linked sets share most of their first nodes, so a set with company in few of them is
+    left out, and the nodes are counted again without it. ``met`` adds up the company, ``mask``
+    has a bit for each of the first ``OWNERS`` nodes that is compared whole.
+    """
+    _, coordinates = branching.chosen(numbered(trees, SEED + 4))
+    least = least_common(np.bincount(coordinates)[np.unique(coordinates)].tolist(), percent)
+    some = stage(_sociable(_crowded(first_nodes(signed, trees, branching)).join(
+        sets.select("sid"), "sid", "left_semi"), least), "crowded-nodes")
+    again = _sociable(_crowded(some).join(sets.select("sid", "size", "k0", "k1"), "sid"), least)
+    whole = F.when((F.col("n") <= leaf) & (F.col("j") < OWNERS),
+                   F.expr("shiftleft(1L, int(j))")).otherwise(0)
+    by_set = Window.partitionBy("sid")
+    return stage(again.withColumns({"met": F.sum("n").over(by_set),
+                                    "mask": F.bit_or(whole).over(by_set)}), "likely-nodes")
 
 
 def _mixed(nodes: DataFrame, facts: DataFrame, roots: DataFrame) -> DataFrame:
@@ -252,7 +307,7 @@ def _mixed(nodes: DataFrame, facts: DataFrame, roots: DataFrame) -> DataFrame:
     ``others`` counts the sets of the node outside the pivot's component.
     """
     own = nodes.select("sid", "path").join(facts, "sid").join(roots, "sid", "left").select(
-        "path", "sid", "size", "k0", "k1", "met", F.coalesce("root", "sid").alias("root"))
+        "path", "sid", "size", "k0", "k1", "met", "mask", F.coalesce("root", "sid").alias("root"))
     seen = ("met", "sid", "size", "k0", "k1")
     parts = own.groupBy("path", "root").agg(
         F.count("*").alias("c"), F.max(F.struct(*seen)).alias("p"))
@@ -264,7 +319,8 @@ def _mixed(nodes: DataFrame, facts: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _is_small(limit: int) -> Column:
-    return (F.col("n") <= limit) | (F.col("others") * F.col("n") <= limit * limit)
+    return (F.col("n") <= limit) | ((F.col("others") * F.col("n") <= limit * limit)
+                                    & (F.col("n") <= WIDEST_LEAF * limit))
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -275,56 +331,159 @@ def _may_link(a: str, b: str, percent: int) -> Column:
             & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)))
 
 
-def _pair(a: str, b: str, leaf: int) -> list[Column]:
-    """a, b and the unit that checks them: a node, or a part of one larger than ``leaf``."""
-    low, high = F.least(f"{a}.sid", f"{b}.sid"), F.greatest(f"{a}.sid", f"{b}.sid")
+def pivot_units(mixed: DataFrame, percent: int) -> DataFrame:
+    """unit, members, pairs: the pivot first, to be checked with all other members (no pairs)."""
+    rows = mixed.select(F.struct("sid", "size", "k0", "k1", "root").alias("x"), "pivot", "n")
+    pairs = rows.where(_may_link("x", "pivot", percent)).groupBy(
+        F.col("pivot.sid").alias("p"), F.col("x.sid").alias("x")).agg(F.max("n").alias("n"))
+    part = F.pmod(F.xxhash64("x"), F.ceil(F.col("n") / CHECK_SETS)).alias("part")
+    units = pairs.groupBy("p", part).agg(F.collect_list("x").alias("xs"))
+    return _numbered(units.select(F.concat(F.array("p"), "xs").alias("members"),
+                                  F.lit(None).cast("binary").alias("pairs")))
+
+
+def _numbered(units: DataFrame) -> DataFrame:
+    return stage(units.select(F.monotonically_increasing_id().alias("unit"), "*"), "units")
+
+
+def _alike(rows: dict[str, np.ndarray], percent: int,
+           least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of a node that may link and meet in no earlier node compared whole."""
+    firsts = rows["brief"].shape[1] // 4 - COORDINATES // 4
+    first = np.ascontiguousarray(rows["brief"][:, :4 * firsts]).view("<u4")
+    low = np.ascontiguousarray(rows["brief"][:, 4 * firsts:])
+    bits = np.ascontiguousarray(np.packbits(low & 1, axis=1)).view("<u8")
+    size, root, part, n = rows["size"], rows["root"], rows["part"], len(low)
+    earlier = np.arange(min(firsts, OWNERS, int(rows["j"][0])))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    step = max(1, (1 << 20) // n)
+    for at in range(0, n, step):
+        me = slice(at, at + step)
+        unlike = np.bitwise_count(bits[me, None, 0] ^ bits[None, :, 0])
+        unlike = unlike + np.bitwise_count(bits[me, None, 1] ^ bits[None, :, 1])
+        fits = (unlike <= MOST_UNLIKE_BITS) & (root[me, None] != root) & (
+            100 * np.minimum(size[me, None], size) >= percent * np.maximum(size[me, None], size))
+        # A unit of two parts leaves the pairs within a part to the unit of that part.
+        fits &= (part[me, None] < part) | ((part[me, None] == part) & (part[0] == part).all()
+                                           & (np.arange(at, min(at + step, n))[:, None] < np.arange(n)))
+        a, b = np.nonzero(fits)
+        a += at
+        for lo in range(0, len(a), 1 << 16):
+            x, y = a[lo:lo + (1 << 16)], b[lo:lo + (1 << 16)]
+            near = (low[x] == low[y]).sum(axis=1) >= least
+            x, y = x[near], y[near]
+            whole = (rows["mask"][x, None] >> earlier & 1).astype(bool)
+            new = ~((first[x][:, earlier] == first[y][:, earlier]) & whole).any(axis=1)
+            found.append((x[new], y[new]))
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
+def leaf_units(members: DataFrame, signed: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """unit, members, pairs: the sets to be checked on full sets, the pairs as positions there.
+
+    ``members``: path, sid, j, n, size, mask, root. A node is compared whole in one row, one above
+    ``leaf`` sets in a row for every two of its parts. A pair is found in one of the first nodes
+    only, and a unit holds ``CHECK_SETS`` sets of either side at most.
+    """
+    least = least_common([1] * COORDINATES, percent)
     parts = F.ceil(F.col("n") / leaf)
-    unit = F.xxhash64("path", F.pmod(F.xxhash64(low), parts), F.pmod(F.xxhash64(high), parts))
-    return [low.alias("a"), high.alias("b"), unit.alias("unit")]
-
-
-def pivot_pairs(mixed: DataFrame, percent: int, leaf: int) -> DataFrame:
-    rows = mixed.select("path", F.struct("sid", "size", "k0", "k1", "root").alias("x"), "pivot", "n")
-    return rows.where(_may_link("x", "pivot", percent)).select(*_pair("x", "pivot", leaf))
-
+    rows = members.join(signed.select("sid", "brief"), "sid").select(
+        "path", F.pmod(F.xxhash64("sid"), parts).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"),
+        "sid", "size", "mask", "j", "root", "brief")
+    nodes = rows.groupBy("path", F.least("part", "other"), F.greatest("part", "other")).agg(
+        F.collect_list(F.struct("sid", "size", "mask", "j", "root", "part", "brief")).alias("sets"))
 
-def leaf_pairs(mixed: DataFrame, percent: int, limit: int, leaf: int) -> DataFrame:
-    """Pairs of the small nodes, as one side outside the pivot's component has to be."""
-    small = mixed.where(_is_small(limit)).select(
-        "path", "n", F.struct("sid", "size", "k0", "k1", "root").alias("x"),
-        (F.col("root") == F.col("pivot.root")).alias("main"))
-    every = small.select("path", F.col("x").alias("y"), F.col("main").alias("main_y"))
-    return small.where("NOT main").drop("main").join(every, "path").where(
-        (F.col("main_y") | (F.col("x.sid") < F.col("y.sid"))) & _may_link("x", "y", percent)
-    ).select(*_pair("x", "y", leaf))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("sets")
+            flat, ends = column.flatten(), column.offsets.to_numpy()
+            ends = ends - ends[0]
+            held = {c: flat.field(c).to_numpy(zero_copy_only=False)
+                    for c in ("sid", "size", "mask", "j", "root", "part")}
+            brief = b"".join(flat.field("brief").to_pylist())
+            held["brief"] = np.frombuffer(brief, np.uint8).reshape(len(flat), -1)
+            members, pairs = [], []
+            for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                if end - start < 2:
+                    continue
+                node = {c: v[start:end] for c, v in held.items()}
+                a, b = _alike(node, percent, least)
+                block = (a // CHECK_SETS << 32) + b // CHECK_SETS
+                order = np.argsort(block, kind="stable")
+                for at in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                    if len(at):
+                        used, place = np.unique(np.concatenate((a[at], b[at])), return_inverse=True)
+                        members.append(node["sid"][used])
+                        pairs.append(place.astype("<i4").tobytes())
+            if members:
+                offsets = np.cumsum([0, *map(len, members)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(members)))
+                yield pa.RecordBatch.from_arrays([lists, pa.array(pairs, pa.binary())],
+                                                 names=["members", "pairs"])
+
+    return _numbered(nodes.select("sets").mapInArrow(run, "members array<long>, pairs binary"))
+
+
+def _linked(mine: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets ``others`` link with the set ``mine``."""
+    linked = np.zeros(len(others), bool)
+    for at in range(0, len(others), 64):
+        some = others[at:at + 64]
+        sizes = np.array([len(o) for o in some])
+        flat = np.concatenate(some)
+        spot = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        common = np.add.reduceat((mine[spot] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        linked[at:at + 64] = 100 * common >= percent * (len(mine) + sizes - common)
+    return linked
+
+
+def _unit_links(full: list[np.ndarray], a: np.ndarray, b: np.ndarray,
+                percent: int) -> list[tuple[int, int]]:
+    """Links that connect what the linked pairs of a unit connect.
+
+    The member with most pairs goes first; pairs already connected are not checked.
+    """
+    label, links = np.arange(len(full)), []
+    around = np.bincount(np.concatenate((a, b)), minlength=len(full))
+    for me in np.argsort(-around, kind="stable").tolist():
+        mine = (a == me) | (b == me)
+        near = np.where(a[mine] == me, b[mine], a[mine])
+        a, b = a[~mine], b[~mine]
+        near = near[label[near] != label[me]]
+        if len(near):
+            for x in near[_linked(full[me], [full[x] for x in near.tolist()], percent)].tolist():
+                if label[x] != label[me]:
+                    label[label == label[x]] = label[me]
+                    links.append((me, x))
+        if not len(a):
+            break
+    return links
 
 
 def check_units(units: DataFrame, percent: int) -> DataFrame:
-    """a, b, linked of every pair of a unit."""
+    """a, b: links that connect what the linked pairs of the units connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = [], []
             for i in range(batch.num_rows):
-                sets, pairs = batch.column("sets")[i].values, batch.column("pairs")[i].values
-                place = {sid: k for k, sid in enumerate(sets.field("sid").to_pylist())}
-                full = [_unpacked(raw) for raw in sets.field("hashes").to_pylist()]
-                a, b = np.asarray(pairs.field("a")), np.asarray(pairs.field("b"))
-                linked = np.zeros(len(a), bool)
-                order = np.argsort(a, kind="stable")
-                for at in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
-                    mine = full[place[int(a[at[0]])]]
-                    for some in np.array_split(at, -(-len(at) // 64)):
-                        others = [full[place[x]] for x in b[some].tolist()]
-                        sizes = np.array([len(o) for o in others])
-                        flat = np.concatenate(others)
-                        spot = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-                        starts = np.cumsum(sizes) - sizes
-                        common = np.add.reduceat((mine[spot] == flat).astype(np.int64), starts)
-                        linked[some] = 100 * common >= percent * (len(mine) + sizes - common)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(linked)], names=["a", "b", "linked"])
-
-    return units.mapInArrow(run, "a long, b long, linked boolean")
+                sets, members = batch.column("sets")[i].values, batch.column("members")[i].as_py()
+                by_sid = dict(zip(sets.field("sid").to_pylist(), sets.field("hashes").to_pylist(),
+                                  strict=True))
+                full = [_unpacked(by_sid[sid]) for sid in members]
+                packed = batch.column("pairs")[i].as_py()
+                if packed is None:
+                    x, y = np.zeros(len(full) - 1, np.int64), np.arange(1, len(full))
+                else:
+                    x, y = np.frombuffer(packed, "<i4").astype(np.int64).reshape(2, -1)
+                for m, n in _unit_links(full, x, y, percent):
+                    a.append(members[m])
+                    b.append(members[n])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                             names=["a", "b"])
+
+    return units.mapInArrow(run, "a long, b long")
 
 
 def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -365,37 +524,31 @@ def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 class Confirmed:
-    """Pairs checked on full sets so far, and the components that they make."""
+    """Links confirmed on full sets so far, and the components that they make."""
 
     def __init__(self, source: DataFrame, sets: DataFrame, words: int, percent: int):
         self.source, self.sets, self.words, self.percent = source, sets, words, percent
         spark = source.sparkSession
         self.full = spark.createDataFrame([], "sid long, hashes binary")
-        self.checked = spark.createDataFrame([], "a long, b long, linked boolean")
+        self.links = spark.createDataFrame([], "a long, b long")
         self.roots = spark.createDataFrame([], "sid long, root long")
 
-    def add(self, candidates: DataFrame) -> None:
-        """Check candidates that are new."""
-        new = stage(candidates.groupBy("a", "b").agg(F.min("unit").alias("unit")).join(
-            self.checked, ["a", "b"], "left_anti"), "pairs-new")
-        if new.isEmpty():
-            return
-        ids = new.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(
-            self.full.select("sid"), "sid", "left_anti")
+    def add(self, units: DataFrame) -> DataFrame:
+        """Check units; their links."""
+        asked = units.select("unit", F.explode("members").alias("sid"))
+        ids = asked.select("sid").distinct().join(self.full.select("sid"), "sid", "left_anti")
         wanted = stage(self.sets.select("sid", "d0", "d1", "text_hash").join(ids, "sid"),
                        "sets-wanted")
         if not wanted.isEmpty():
             self.full = self.full.union(stage(
                 full_sets(self.source, wanted, self.words), "sets-full"))
-        asked = new.groupBy("unit").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-        held = new.select("unit", F.explode(F.array("a", "b")).alias("sid")).distinct().join(
-            self.full, "sid").groupBy("unit").agg(
+        held = asked.join(self.full, "sid").groupBy("unit").agg(
             F.collect_list(F.struct("sid", "hashes")).alias("sets"))
-        verdicts = stage(check_units(asked.join(held, "unit"), self.percent), "pairs-checked")
-        self.checked = self.checked.union(verdicts)
-        self._merge(verdicts.where("linked").select("a", "b"))
+        links = stage(check_units(units.join(held, "unit"), self.percent), "links")
+        self.links = self.links.union(links)
+        return links
 
-    def _merge(self, links: DataFrame) -> None:
+    def merge(self, links: DataFrame) -> None:
         """Hook labels that new links join onto the smallest of them, over two steps.
 
         Equal labels mean one component, not the reverse: that saves comparisons, while the
@@ -419,8 +572,27 @@ class Confirmed:
 
     def components(self) -> DataFrame:
         """(sid, root) of all sets with a link."""
-        links = self.checked.where("linked").select("a", "b")
-        return stage(connected_components(links).withColumnRenamed("node", "sid"), "set-roots")
+        return stage(connected_components(self.links).withColumnRenamed("node", "sid"), "set-roots")
+
+
+def _large_nodes(known: Confirmed, nodes: DataFrame, signed: DataFrame, branching: Branching,
+                 leaf: int) -> None:
+    """Check nodes above ``leaf`` sets: pivots first, then branches of those that mix components."""
+    facts = stage(nodes.groupBy("sid").agg(*(F.first(c).alias(c) for c in (
+        "size", "k0", "k1", "met", "mask"))), "set-facts")
+    known.merge(known.links)
+    mixed, depth = _mixed(nodes, facts, known.roots), 1
+    while not mixed.isEmpty():
+        known.merge(known.add(pivot_units(mixed, known.percent)))
+        mixed = _mixed(mixed, facts, known.roots)
+        small = _is_small(leaf) if depth < DEEPEST else F.lit(True)
+        known.merge(known.add(leaf_units(
+            mixed.where(small).withColumn("j", F.lit(OWNERS)), signed, known.percent, leaf)))
+        large = mixed.where(~small)
+        if large.isEmpty():
+            return
+        below = stage(next_nodes(large, signed, branching), "next-nodes")
+        mixed, depth = _mixed(_crowded(below), facts, known.roots), depth + 1
 
 
 def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -428,33 +600,24 @@ def similar_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  leaf: int = LEAF_SETS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable)."""
     source = _source(docs, doc_id, text)
-    branching = Branching.at(percent)
-    rows = stage(signed_rows(source, words).select(
+    branching, trees = Branching.at(percent), trees_for(recall)
+    _, firsts = branching.chosen(numbered(trees, SEED + 4))
+    rows = stage(signed_rows(source, words, firsts).select(
         F.monotonically_increasing_id().alias("row"), "*"), "signed-rows")
     sets = stage(rows.where("n_shingles > 0").groupBy("d0", "d1").agg(
         F.min("row").alias("sid"), F.first("n_shingles").alias("size"), F.first("k0").alias("k0"),
         F.first("k1").alias("k1"), F.min("text_hash").alias("text_hash"),
         F.min("doc_id").alias("low_id")), "distinct-sets")
     # A set goes by its first row, which is fresh: minwise tokens stay where they were made.
-    signed = rows.where("n_shingles > 0 AND fresh").select(F.col("row").alias("sid"), "tokens")
-    nodes = stage(_crowded(first_nodes(signed, trees_for(recall), branching)).join(
-        sets.select("sid"), "sid", "left_semi"), "crowded-nodes")
-    met = nodes.groupBy("sid").agg(F.sum("n").alias("met"))
-    facts = stage(sets.select("sid", "size", "k0", "k1").join(met, "sid"), "set-facts")
+    signed = rows.where("n_shingles > 0 AND fresh").select(
+        F.col("row").alias("sid"), "tokens", "brief")
+    nodes = likely_nodes(signed, sets, trees, branching, percent, leaf)
     known = Confirmed(source, sets, words, percent)
-    mixed = _mixed(nodes, facts, known.roots)
-    known.add(pivot_pairs(mixed, percent, leaf))
-    depth = 1
-    while not mixed.isEmpty():
-        mixed = _mixed(mixed, facts, known.roots)
-        limit = leaf if depth < DEEPEST else 1 << 31
-        pairs, large = leaf_pairs(mixed, percent, limit, leaf), mixed.where(~_is_small(limit))
-        if large.isEmpty():
-            known.add(pairs)
-            break
-        below = stage(next_nodes(large, signed, branching), "next-nodes")
-        mixed, depth = _mixed(_crowded(below), facts, known.roots), depth + 1
-        known.add(pairs.union(pivot_pairs(mixed, percent, leaf)))
+    known.add(leaf_units(nodes.where(F.col("n") <= leaf).withColumn("root", F.col("sid")), signed,
+                         percent, leaf))
+    large = nodes.where(F.col("n") > leaf)
+    if not large.isEmpty():
+        _large_nodes(known, large, signed, branching, leaf)
     rooted = stage(sets.select("sid", "d0", "d1", "low_id").join(
         known.components(), "sid", "left").select(
         "d0", "d1", "low_id", F.coalesce("root", "sid").alias("root")), "sets-rooted")
