@@ -78,6 +78,28 @@ def test_hard_negatives_beyond_floats(spark):
         (i, [float(np.float32(x)) for x in v], label) for i, v, label in rows])
 
 
+def test_blocks_and_tiles_meet_by_shuffle(spark, monkeypatch):
+    # A block goes to every group of tiles, so the few blocks are no small table.
+    plans, met = [], hard_negatives._meet
+
+    def watched(*args):
+        out = met(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(hard_negatives, "_meet", watched)
+    monkeypatch.setattr(hard_negatives, "TILE_ROWS", 4)
+    monkeypatch.setattr(hard_negatives, "RANGES", 3)
+    rng = random.Random(3)
+    rows = [(i, [rng.randint(-3, 9) / 8 for _ in range(4)], rng.randint(0, 2)) for i in range(200)]
+    table = spark.createDataFrame([(*r, 0.0) for r in rows], VECTORS)
+    found = hard_negatives.hard_negatives(
+        hard_negatives.whole_vectors(table), F.col("vec_id") % 50 == 0)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("Broadcast" in p for p in plans)
+    assert sorted(map(tuple, found.collect())) == mined(rows)
+
+
 def test_boxes_hold_every_score():
     rng = np.random.default_rng(2)
     vectors = rng.integers(-50, 50, (500, 6))

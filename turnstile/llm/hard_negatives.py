@@ -11,6 +11,8 @@ are exact, ties included.
 Anchors are searched in blocks of ``BLOCK_ROWS`` against every tile: first for their best rows of
 the same label (the positives), then, with one score window per positive, for the best rows of
 other labels. A tile returns its best few per anchor; those of all tiles are ranked by a window.
+Blocks and tiles meet by shuffle: a block goes to every group of tiles, which Spark's estimate of
+the few blocks does not tell, so they would be broadcast through the driver.
 
 Defined results: rows with a null id, label or vector, or with a null or non-finite component,
 take no part. A component is floor(scale * x) and saturates at 64 bits, as do scores. Shorter
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstile.session import stage
+from turnstile.session import by_key, stage
 
 SCALE = 256
 POSITIVES = 5
@@ -44,6 +46,8 @@ SPREAD_COORDINATES = 3
 FIRST_LEAVES = 6
 BLOCK_ROWS = 256
 TILES_PER_TASK = 4
+# Bounds of ranges come from rows sampled for each of them on the driver.
+RANGES = 512
 EXACT = float(1 << 53)
 LONG = np.iinfo(np.int64)
 
@@ -225,20 +229,29 @@ TILE = "ids binary, labels binary, vectors binary, width int"
 def build_tiles(vectors: DataFrame, n_tiles: int) -> DataFrame:
     """One row per tile: its rows in packed order. Boxes are derived from them when read."""
 
+    def tile(rows: pa.Table) -> pa.RecordBatch:
+        part = rows.combine_chunks().to_batches()[0]
+        values = matrix(part.column("vector"))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([np.asarray(part.column("vec_id")).tobytes()]),
+             pa.array([np.asarray(part.column("label")).tobytes()]),
+             pa.array([values.tobytes()]), pa.array([values.shape[1]], pa.int32())],
+            names=["ids", "labels", "vectors", "width"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
         for batch in batches:
-            for at in range(0, batch.num_rows, TILE_ROWS):
-                part = batch.slice(at, TILE_ROWS)
-                values = matrix(part.column("vector"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([np.asarray(part.column("vec_id")).tobytes()]),
-                     pa.array([np.asarray(part.column("label")).tobytes()]),
-                     pa.array([values.tobytes()]), pa.array([values.shape[1]], pa.int32())],
-                    names=["ids", "labels", "vectors", "width"])
+            rows = pa.Table.from_batches([batch])
+            rest = rows if rest is None else pa.concat_tables([rest, rows])
+            while rest.num_rows >= TILE_ROWS:
+                yield tile(rest.slice(0, TILE_ROWS))
+                rest = rest.slice(TILE_ROWS)
+        if rest is not None and rest.num_rows:
+            yield tile(rest)
 
     keyed = vectors.withColumn("lead", F.try_element_at("vector", F.lit(1)))
     order = ["label", "lead", "vec_id"]
-    return keyed.repartitionByRange(n_tiles, *order).sortWithinPartitions(*order).select(
+    return keyed.repartitionByRange(min(n_tiles, RANGES), *order).sortWithinPartitions(*order).select(
         "vec_id", "label", "vector").mapInArrow(run, TILE)
 
 
@@ -248,14 +261,20 @@ def read_tile(row: dict) -> Tree:
 
 
 def _meet(queries: DataFrame, tiles: DataFrame, n_tiles: int) -> DataFrame:
-    """Every block of queries beside every tile, dealt over groups of tiles."""
+    """Every block of queries beside every tile, dealt over groups of tiles of one size."""
     block = F.expr(f"key - pmod(key, {BLOCK_ROWS})").alias("block")
     blocks = queries.groupBy(block).agg(F.collect_list(F.struct(*queries.columns)).alias("queries"))
     groups = max(1, -(-n_tiles // TILES_PER_TASK))
-    dealt = tiles.withColumn("deal", F.pmod(F.col("tile"), F.lit(groups)))
+    # The number of a tile holds its partition in the upper bits and its place there in the others.
+    number = F.shiftright("tile", 33) + F.col("tile").bitwiseAND((1 << 33) - 1) * RANGES
+    dealt = tiles.withColumn("deal", F.pmod(number, F.lit(groups)))
     spread = blocks.select("block", "queries",
                            F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("deal"))
-    return spread.join(dealt, "deal").select("queries", "ids", "labels", "vectors", "width")
+    # Few bytes and much work: the number of partitions is given, so that Spark does not merge them.
+    parts = min(groups, RANGES)
+    return by_key(spread.repartition(parts, "deal")).join(
+        by_key(dealt.repartition(parts, "deal")), "deal").select(
+        "queries", "tile", "ids", "labels", "vectors", "width")
 
 
 FOUND = "key long, slot int, found_id long, score long"
@@ -268,12 +287,17 @@ def _answers(met: DataFrame, k: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tree = None, None
+        held: dict[int, Tree] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("ids", "labels", "vectors", "width")}
-                if row["ids"] != held or tree is None:
-                    held, tree = row["ids"], read_tile(row)
+                tile = batch.column("tile")[i].as_py()
+                if tile not in held:
+                    # Blocks come one after the other, each with all tiles of its group.
+                    if len(held) == 2 * TILES_PER_TASK:
+                        held.pop(next(iter(held)))
+                    held[tile] = read_tile({c: batch.column(c)[i].as_py() for c in (
+                        "ids", "labels", "vectors", "width")})
+                tree = held[tile]
                 asked = batch.column("queries")[i].values
                 searcher = Searcher(tree, matrix(asked.field("vector")))
                 columns = list(zip(*asked_rows(asked, searcher, k), strict=True)) or [()] * 4
@@ -325,6 +349,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = POSIT
     n_tiles = max(1, -(-n_rows // TILE_ROWS))
     tiles = stage(build_tiles(rows, n_tiles).withColumn(
         "tile", F.monotonically_increasing_id()), "tiles")
+    n_tiles = tiles.count()
     anchors = stage(rows.where(is_anchor).repartition(max(1, -(-n_anchors // BLOCK_ROWS))).select(
         F.monotonically_increasing_id().alias("key"), "*"), "anchors")
     none = F.lit(None).cast("array<long>")
@@ -335,13 +360,14 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = POSIT
                  "positives")
     windows = best.groupBy("key").agg(F.sort_array(F.collect_list(
         F.struct("rank", "low", "high"))).alias("windows"))
-    second = anchors.join(windows, "key").select(
+    second = anchors.join(by_key(windows), "key").select(
         "key", "vec_id", "label", "vector", F.col("windows.low").alias("lows"),
         F.col("windows.high").alias("highs"))
     mined = _ranked(_answers(_meet(second, tiles, n_tiles), negatives), negatives)
-    named = best.join(anchors.select("key", F.col("vec_id").alias("anchor_id")), "key").select(
+    named = best.join(
+        by_key(anchors.select("key", F.col("vec_id").alias("anchor_id"))), "key").select(
         "key", (F.col("rank") - 1).alias("slot"), "anchor_id", "positive_id",
         F.col("score").alias("positive_score"))
-    return mined.join(named, ["key", "slot"]).select(
+    return mined.join(by_key(named), ["key", "slot"]).select(
         "anchor_id", "positive_id", "rank", F.col("found_id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"))
