@@ -301,6 +301,22 @@ def test_alignment_statistics(spark, no_docs, monkeypatch, chunk):
     assert cross_tokenizer.link_statistics(no_docs, A_PATH, B_PATH).collect() == []
 
 
+def test_files_hold_few_chunks(spark, monkeypatch):
+    # Readers decode the rows of a file together; a chunk is a row of many megabytes.
+    docs = spark.createDataFrame(SHORT * 3, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(cross_tokenizer, "CHUNK_BYTES", 64)
+    staged, stage = [], cross_tokenizer.stage
+
+    def watched(df, label, *args):
+        staged.append(stage(df, label, *args))
+        return staged[-1]
+
+    monkeypatch.setattr(cross_tokenizer, "stage", watched)
+    assert cross_tokenizer.link_statistics(docs, A_PATH, B_PATH).count() == len(SHORT) * 3
+    sizes = staged[0].groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] <= cross_tokenizer.CHUNKS_PER_FILE < sizes[1]
+
+
 def test_aligned_tokens_and_groups(spark, edge_docs):
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
     rows = {r["doc_id"]: r for r in cross_tokenizer.align_texts(docs, A_PATH, B_PATH).collect()}

@@ -41,6 +41,7 @@ from turnstile.llm.bpe import byte_alphabet
 from turnstile.session import stage
 
 CHUNK_BYTES = 4 << 20
+CHUNKS_PER_FILE = 4
 ENCODE_TEXTS = 256
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # The rank encoder recurses over white space; longer runs go to the library of the file.
@@ -323,7 +324,7 @@ def link_statistics(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "do
     groups_sha256."""
     source = _source(docs, doc_id, text)
     chunks = stage(_chunks(source, a_path, b_path).withColumn(
-        "chunk", F.monotonically_increasing_id()), "aligned-chunks")
+        "chunk", F.monotonically_increasing_id()), "aligned-chunks", CHUNKS_PER_FILE)
     known = stage(pair_counts(chunks), "pair-known")
     asked = chunks.select("chunk", F.posexplode("pairs").alias("place", "pair"))
     found = asked.join(known, "pair").groupBy("chunk").agg(
