@@ -1,7 +1,7 @@
 """How tables that grow with the data are joined."""
 
 from catalog.base import Lake
-from catalog.gold import payments_fact
+from catalog.gold import attendance_fact, payments_fact
 from turnstile.operators import dims, headcount, orders
 from turnstile.plans import views
 from turnstile.session import stage
@@ -103,3 +103,12 @@ def test_single_reads_leave_out_branches(spark):
 def test_payments_are_joined_by_shuffle(spark):
     lake = Lake(spark, "/root/testdata/sf0.001")
     assert "Broadcast" not in plan(payments_fact(lake))
+
+
+def test_wide_stubs_are_shuffled_once(spark):
+    # Dimensions are looked up by row number; the events (broadcast here) are joined last.
+    fact = attendance_fact(Lake(spark, "/root/testdata/sf0.001"))
+    formatted = spark._jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
+    exchanges = [b for b in formatted.split("\n\n") if "Exchange" in b.split("\n")[0]]
+    assert len(exchanges) > 5
+    assert sum("attendance_status#" in b for b in exchanges) == 1
