@@ -256,3 +256,29 @@ def test_anchors_leave_few_candidates(spark):
         "'hot' AS event_id", "concat('evening ticket row ', id, ' seat') AS needle")
     candidates = dims.anchor_candidates(texts, needles).count()
     assert 3000 <= candidates <= 20 * 3000 < 3000 * 300
+
+
+def test_few_text_pieces_reach_the_join(spark):
+    texts = spark.range(2_000).selectExpr(
+        "CAST(id % 20 AS STRING) AS event_id", "concat('some long product text ', id) AS text")
+    needles = spark.range(20).selectExpr(
+        "CAST(id AS STRING) AS event_id", "concat('text ', 100 + id) AS needle")
+    pieces = texts.selectExpr("event_id", "text", "substr(text, -4) AS piece")
+    keys = needles.selectExpr("event_id", "substr(needle, -4) AS piece")
+    kept = dims.may_match(pieces, keys, "event_id", "piece")
+    exact = pieces.join(keys.distinct(), ["event_id", "piece"], "left_semi").select(*pieces.columns)
+    assert kept.exceptAll(exact).count() <= 20 and exact.exceptAll(kept).isEmpty()
+    assert dims.may_match(pieces, keys.limit(0), "event_id", "piece").isEmpty()
+    found = dims.anchor_candidates(texts, needles).where("contains(text, needle)")
+    wanted = texts.join(needles, "event_id").where("contains(text, needle)")
+    assert found.exceptAll(wanted.select(*found.columns)).isEmpty() and found.count() == wanted.count() > 0
+    # Of 2,000 texts with more than twenty pieces each, few rows are kept for the join.
+    staged = []
+    stage = dims.stage
+    dims.stage = lambda df, label: staged.append((label, stage(df, label))) or staged[-1][1]
+    try:
+        dims.anchor_candidates(texts, needles)
+    finally:
+        dims.stage = stage
+    assert dict(staged)["anchor-pieces"].count() < 2 * dict(staged)["anchors"].join(
+        texts, "event_id").where("contains(text, piece)").count() + 100
